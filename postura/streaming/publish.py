@@ -1,7 +1,10 @@
 """Publishing as files arrive.
 
-The source is a stream of detail rows, the sink the summary.  Both sinks are idempotent:
-a batch that is replayed after a failure leaves the table as it was.
+The source is a stream of detail rows, the sink a log of summary rows: each batch writes
+its sums under its batch id.  That is one partition per batch however many metric-days it
+touches, nothing written before is read or rewritten, no state store is kept, and a batch
+replayed after a failure overwrites itself.  What a metric-day's newest state is, is
+decided on reading; the summary is small beside the rows it sums up.
 """
 
 from __future__ import annotations
@@ -13,8 +16,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from postura import schemas
 from postura.operators.rollups import summarise
+from postura.sources.raw import latest_snapshot
 from postura.sources.tables import replace_partitions
 
+BATCH = "batch_id"
+_LOG = T.StructType([*schemas.SUMMARY.fields, T.StructField(BATCH, T.LongType())])
+
 
 def stream_rows(
     spark: SparkSession,
@@ -32,7 +39,16 @@ def stream_rows(
     )
 
 
-def _start(rows: DataFrame, checkpoint: str, write) -> StreamingQuery:
+def stream_publish(rows: DataFrame, log_path: str, checkpoint: str) -> StreamingQuery:
+    """Summarise every batch into the log, until all that has landed is read.
+
+    The batch ids come from ``checkpoint``; it has to be kept as long as the log.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rolled = summarise(batch).withColumn(BATCH, F.lit(batch_id).cast("bigint"))
+        replace_partitions(rolled, log_path, [BATCH])
+
     return (
         rows.writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -41,38 +57,22 @@ def _start(rows: DataFrame, checkpoint: str, write) -> StreamingQuery:
     )
 
 
-def stream_publish(rows: DataFrame, summary_path: str, checkpoint: str) -> StreamingQuery:
-    """Summarise each batch and replace its (metric, date) pairs.
+def replaced_summary(spark: SparkSession, log_path: str) -> DataFrame:
+    """The summary where the newest batch of a (metric, date) replaces the earlier ones.
 
-    For sources where a file, and so a batch, holds its metric-days completely.  Late or
+    For sources whose files, and so batches, hold their metric-days completely: late or
     repeated files replace what they sent before.
     """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        replace_partitions(summarise(batch), summary_path, schemas.SUMMARY_REPLACE_KEYS)
-
-    return _start(rows, checkpoint, write)
-
-
-def stream_accumulate(rows: DataFrame, partials_path: str, checkpoint: str) -> StreamingQuery:
-    """Keep each batch's sums under its batch id; ``accumulated`` adds them up.
-
-    For sources that spread a metric-day over batches.  Sums and counts add, so no state
-    store is needed and nothing written before is read again.
-    """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        partial = summarise(batch).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        replace_partitions(partial, partials_path, ["batch_id"])
-
-    return _start(rows, checkpoint, write)
+    log = spark.read.schema(_LOG).parquet(log_path)
+    newest = latest_snapshot(log, schemas.SUMMARY_REPLACE_KEYS, BATCH)
+    return newest.select(*schemas.SUMMARY.fieldNames())
 
 
-def accumulated(spark: SparkSession, partials_path: str) -> DataFrame:
-    """The summary made of all partial sums."""
+def accumulated_summary(spark: SparkSession, log_path: str) -> DataFrame:
+    """The summary where batches add up: for sources spreading a metric-day over batches."""
     return (
-        spark.read.schema(schemas.SUMMARY)
-        .parquet(partials_path)
+        spark.read.schema(_LOG)
+        .parquet(log_path)
         .groupBy(*schemas.SUMMARY_KEYS)
         .agg(F.sum("totalok").alias("totalok"), F.sum("total").alias("total"))
     )
