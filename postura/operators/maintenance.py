@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postura import schemas
+from postura.operators.matching import expand
 from postura.operators.rollups import summarise
 from postura.operators.sizing import local_if_small
 
@@ -37,7 +38,7 @@ def upsert_summary(old: DataFrame, run_detail: DataFrame) -> DataFrame:
 def upsert_detail(old: DataFrame, run_detail: DataFrame) -> DataFrame:
     """The detail after a run: only the newest run of each metric."""
     kept = replace_keys(old, run_detail, schemas.DETAIL_REPLACE_KEYS)
-    return kept.unionByName(run_detail, allowMissingColumns=True)
+    return kept.unionByName(expand(run_detail), allowMissingColumns=True)
 
 
 def union_metrics(results: Sequence[DataFrame]) -> DataFrame:

@@ -3,12 +3,14 @@
 The answer to "LEFT JOIN findings ON key AND condition", projected to entity columns
 and a matched flag, has one identical row per matching finding.  So findings need not
 travel at all: they are counted per key where they lie (map-side combine), the counts
-are joined to the entities, and the rows are multiplied back afterwards.
+are joined to the entities, and a row carries the number of rows it stands for.
 
 * A key with a third of all findings costs one counter per map task.  A plain left
   join could not be rescued here: skew splitting never splits the right side of a
   left outer join.
 * Several metrics over one pair of tables share a single scan, shuffle and join.
+* Attribution, roll-up, scores and alerts work on the compact rows.  Only the detail
+  table needs the rows multiplied back, and that is the last thing done to it.
 """
 
 from __future__ import annotations
@@ -20,8 +22,10 @@ from pyspark.sql import functions as F
 
 from postura.functions.predicates import any_of, holds
 
+# Column of a compact row: how many identical rows it stands for.
+COPIES = "_copies"
 # Copies one task emits from one compact row before the row is split for others.
-COPIES_PER_ROW = 10_000
+COPIES_PER_PIECE = 10_000
 
 
 def match_counts(
@@ -53,28 +57,44 @@ def match_counts(
     )
 
 
-def fan_out(df: DataFrame, count_col: str, copies_per_row: int = COPIES_PER_ROW) -> DataFrame:
-    """Multiply rows back: ``count_col`` copies of each, one where it is 0.
+def as_fan_out(df: DataFrame, count_col: str) -> DataFrame:
+    """Counts to compact rows: ``matched``, and as many copies as there are matches, or one."""
+    return df.withColumns(
+        {
+            "matched": F.col(count_col) > 0,
+            COPIES: F.greatest(F.col(count_col), F.lit(1).cast("bigint")),
+        }
+    ).drop(count_col)
 
-    ``count_col`` becomes the boolean ``matched``.  A row with very many copies is
-    first cut into pieces, and the compact pieces are dealt out evenly, so neither a
-    hot key nor the size estimate of the still compact join leaves one task to emit
-    a large share of the output.
-    """
-    # The number of partitions is given: left open, AQE would size them by the
-    # compact rows and merge what is about to grow.
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    size = F.lit(copies_per_row).cast("bigint")
-    copies = F.greatest(F.col(count_col), F.lit(1).cast("bigint"))
+
+def copies(df: DataFrame) -> Column:
+    """How many rows each row of ``df`` stands for; 1 where it does not say."""
     one = F.lit(1).cast("bigint")
-    last_piece = F.floor((copies - one) / size).cast("bigint")
-    pieces = df.withColumn("_piece", F.explode(F.sequence(one * 0, last_piece)))
-    spread = pieces.repartition(partitions)
-    in_piece = F.least(size, copies - F.col("_piece") * size)
+    return F.coalesce(F.col(COPIES), one) if COPIES in df.columns else one
+
+
+def expand(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Multiply compact rows back; plain rows are returned as they are.
+
+    A row with very many copies is first cut into pieces, and the still compact pieces
+    are dealt out evenly over ``partitions`` tasks (the session's shuffle partitions if
+    not given), so no hot key leaves one task to emit a large share of the output.  The
+    number is fixed here because AQE would size partitions by the compact rows and merge
+    what is about to grow.
+    """
+    if COPIES not in df.columns:
+        return df
+    if partitions is None:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size, one = F.lit(COPIES_PER_PIECE).cast("bigint"), F.lit(1).cast("bigint")
+    n = copies(df)
+    last_piece = F.floor((n - one) / size)
+    pieces = df.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), last_piece)))
+    in_piece = F.least(size, n - F.col("_piece") * size)
     return (
-        spread.withColumn("_copy", F.explode(F.sequence(one, in_piece)))
-        .withColumn("matched", F.col(count_col) > 0)
-        .drop("_piece", "_copy", count_col)
+        pieces.repartition(partitions)
+        .withColumn("_copy", F.explode(F.sequence(one, in_piece)))
+        .drop("_piece", "_copy", COPIES)
     )
 
 
@@ -86,11 +106,10 @@ def entity_vs_findings(
     condition: Column,
     per_entity: bool = False,
 ) -> DataFrame:
-    """Entity rows with ``matched``: one per matching finding, one where none matches.
+    """Compact entity rows with ``matched``: a copy per matching finding, one if none matches.
 
-    ``per_entity`` keeps one row per entity instead of the fan-out.
+    ``expand`` gives the rows of the join.  ``per_entity`` gives every entity once.
     """
     counted = match_counts(entities, findings, entity_key, finding_key, {"_matches": condition})
-    if per_entity:
-        return counted.withColumn("matched", F.col("_matches") > 0).drop("_matches")
-    return fan_out(counted, "_matches")
+    rows = as_fan_out(counted, "_matches")
+    return rows.drop(COPIES) if per_entity else rows

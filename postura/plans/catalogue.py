@@ -1,7 +1,8 @@
 """The shipped metrics as DataFrame functions ``(tables, as_of) -> DataFrame``.
 
-Each returns the contract columns, one row per measured resource.  Metrics that ask
-several questions of the same two tables form a family, measured in one pass.
+Each returns the contract columns.  Metrics that count a resource once per finding return
+compact rows, which ``operators.matching.expand`` multiplies back.  Metrics that ask several
+questions of the same two tables form a family, measured in one pass.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from postura.functions.dates import DateLike, age_days, older_than
 from postura.functions.predicates import compliance
-from postura.operators.matching import entity_vs_findings, fan_out, match_counts
+from postura.operators.matching import COPIES, as_fan_out, entity_vs_findings, match_counts
 from postura.sources.library import MetricDefinition
 from postura.sources.raw import RawTables
 
@@ -37,6 +38,7 @@ def _measured(df: DataFrame, resource: str, kind: str, ok: Column, detail: Colum
         F.lit(kind).alias("resource_type"),
         compliance(ok).alias("compliance"),
         detail.cast("string").alias("detail"),
+        *[c for c in df.columns if c == COPIES],
     )
 
 
@@ -92,17 +94,17 @@ def host_metrics(
     )
     rows = counted.select("hostname", F.explode(answers).alias("_a")).select("hostname", "_a.*")
     if per_resource:
-        worst = rows.groupBy("metric_id", "hostname").agg(F.max("_matches").alias("_matches"))
-        rows = worst.withColumn("matched", F.col("_matches") > 0)
-    else:
-        rows = fan_out(rows, "_matches")
-    return rows.select(
+        rows = rows.groupBy("metric_id", "hostname").agg(F.max("_matches").alias("_matches"))
+    rows = as_fan_out(rows, "_matches")
+    measured = rows.select(
         "metric_id",
         F.col("hostname").alias("resource"),
         F.lit("host").alias("resource_type"),
         compliance(~F.col("matched")).alias("compliance"),
         F.lit("").alias("detail"),
+        COPIES,
     )
+    return measured.drop(COPIES) if per_resource else measured
 
 
 def _host_metric(metric_id: str) -> Callable[..., DataFrame]:

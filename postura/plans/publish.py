@@ -12,6 +12,7 @@ from postura.operators.maintenance import redact
 from postura.operators.rollups import alert_table, summarise
 from postura.operators.sampling import summary_sample, v_summary
 from postura.plans.alerts import alert_lines, alert_message
+from postura.plans.runner import MetricRun
 from postura.sources.tables import read_or_empty, replace_partitions, write_csv
 
 
@@ -52,27 +53,28 @@ def create_views(spark: SparkSession, store: Store, as_of: DateLike) -> None:
     v_summary(summary, as_of).createOrReplaceTempView("v_summary")
 
 
-def write_detail(run_detail: DataFrame, store: Store) -> None:
-    """Each metric of the run replaces its rows; other metrics' files are not touched."""
-    replace_partitions(
-        run_detail.select(*schemas.DETAIL.fieldNames()), store.detail, schemas.DETAIL_REPLACE_KEYS
-    )
+def write_detail(run: MetricRun, store: Store) -> None:
+    """Each metric of the run replaces its rows; other metrics' files are not touched.
+
+    The rows come evenly spread from being expanded and are written from there.
+    """
+    rows = run.detail.select(*schemas.DETAIL.fieldNames())
+    replace_partitions(rows, store.detail, schemas.DETAIL_REPLACE_KEYS, rebalance=False)
 
 
-def write_summary(run_detail: DataFrame, store: Store) -> None:
+def write_summary(run: MetricRun, store: Store) -> None:
     """Each (metric, date) of the run replaces its rows; a rerun changes nothing."""
-    replace_partitions(summarise(run_detail), store.summary, schemas.SUMMARY_REPLACE_KEYS)
+    replace_partitions(summarise(run.rows), store.summary, schemas.SUMMARY_REPLACE_KEYS)
 
 
-def publish(run_detail: DataFrame, store: Store, as_of: DateLike) -> DataFrame:
+def publish(run: MetricRun, store: Store, as_of: DateLike) -> DataFrame:
     """Publish a run and return its alert message.
 
-    ``run_detail`` is read several times: pass rows that are on storage, as
-    ``runner.run_metrics`` returns them.
+    The run is read several times: pass one that is on storage, from ``run_metrics``.
     """
-    spark = run_detail.sparkSession
-    write_detail(run_detail, store)
-    write_summary(run_detail, store)
+    spark = run.rows.sparkSession
+    write_detail(run, store)
+    write_summary(run, store)
     write_csv(redact(store.read_detail(spark)), store.detail_csv)
     write_csv(summary_sample(store.read_summary(spark), as_of), store.summary_csv)
-    return alert_message(alert_lines(alert_table(run_detail)))
+    return alert_message(alert_lines(alert_table(run.rows)))

@@ -1,4 +1,4 @@
-"""Running metrics: definitions in, detail rows and a report out.
+"""Running metrics: definitions in, rows and a report out.
 
 A metric that cannot be measured (a table, column or metadata key is missing, its query
 fails, it yields no row) is left out and reported; the others go on.
@@ -7,6 +7,7 @@ fails, it yields no row) is left out and reported; the others go on.
 from __future__ import annotations
 
 import datetime as dt
+import math
 import re
 import uuid
 from collections.abc import Iterable, Sequence
@@ -16,11 +17,13 @@ from dataclasses import dataclass, field
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postura import schemas
 from postura.functions.dates import as_date
 from postura.operators.assets import enrich_assets
 from postura.operators.maintenance import union_metrics
+from postura.operators.matching import COPIES, copies, expand
 from postura.plans.catalogue import FAMILIES
 from postura.sources.library import MetricDefinition, library_frame
 from postura.sources.raw import MissingTable, RawTables
@@ -30,6 +33,10 @@ _REF = re.compile(r"""\{\{\s*ref\(\s*['"]([^'"]+)['"]\s*\)\s*\}\}""")
 
 # Metrics written at the same time; each is a distributed job of its own.
 CONCURRENT_METRICS = 4
+# Detail rows a task writes.
+ROWS_PER_TASK = 1_000_000
+# The detail schema, and how many rows a row stands for.
+COMPACT = T.StructType([*schemas.DETAIL.fields, T.StructField(COPIES, T.LongType())])
 
 
 class ContractError(ValueError):
@@ -53,9 +60,18 @@ class Outcome:
 
 @dataclass
 class MetricRun:
-    detail: DataFrame
+    """``rows`` are compact: attribution, sums and alerts can use them as they are."""
+
+    rows: DataFrame
     report: list[Outcome] = field(default_factory=list)
 
+    @property
+    def detail(self) -> DataFrame:
+        """The detail rows themselves, over a number of tasks that fits their number."""
+        known = [o.rows for o in self.report if o.rows is not None]
+        partitions = math.ceil(sum(known) / ROWS_PER_TASK) or 1 if known else None
+        return expand(self.rows, partitions)
+
     def failures(self) -> list[Outcome]:
         return [o for o in self.report if o.status in ("failed", "empty")]
 
@@ -111,7 +127,8 @@ def stamp_family(df: DataFrame, definitions: Sequence[MetricDefinition], as_of)
 def _contract_rows(df: DataFrame, *extra: str) -> DataFrame:
     check_contract(df)
     types = {c: schemas.DETAIL[c].dataType for c in schemas.CONTRACT}
-    return df.select(*extra, *[F.col(c).cast(t).alias(c) for c, t in types.items()])
+    columns = [F.col(c).cast(t).alias(c) for c, t in types.items()]
+    return df.select(*extra, *columns, copies(df).alias(COPIES))
 
 
 def measure(definition: MetricDefinition, tables: RawTables, as_of: dt.date) -> DataFrame:
@@ -164,7 +181,7 @@ def plan_metrics(
     as_of: dt.date,
     assets: DataFrame | None = None,
 ) -> MetricRun:
-    """The detail rows of all metrics as one lazy frame; no job runs.
+    """The rows of all metrics as one lazy frame; no job runs.
 
     Finds what can be found while planning.  Metrics without rows add none.
     """
@@ -172,9 +189,9 @@ def plan_metrics(
     planned = [p for g in _groups(definitions) for p in _plan(g, tables, as_of, report)]
     report += [Outcome(d.name, "planned") for group, _ in planned for d in group]
     if not planned:
-        return MetricRun(empty_table(tables.spark, schemas.DETAIL), report)
+        return MetricRun(empty_table(tables.spark, COMPACT), report)
     rows = enrich_assets(union_metrics([df for _, df in planned]), assets)
-    return MetricRun(rows.select(*schemas.DETAIL.fieldNames()), report)
+    return MetricRun(rows.select(*COMPACT.fieldNames()), report)
 
 
 def run_metrics(
@@ -184,10 +201,11 @@ def run_metrics(
     staging: str,
     assets: DataFrame | None = None,
 ) -> MetricRun:
-    """Measure and write the detail rows to ``staging``, each metric in a job of its own.
+    """Measure and write the rows to ``staging``, each metric in a job of its own.
 
     So a metric failing at run time takes no other with it, and the run is computed once
-    however often it is read afterwards.  Rows are counted while they are written.
+    however often it is read afterwards.  Rows are counted while they are written; a retried
+    stage may count some twice, so the numbers size tasks and tell "none" from "some".
     """
     report: list[Outcome] = []
     planned = [p for g in _groups(definitions) for p in _plan(g, tables, as_of, report)]
@@ -195,8 +213,11 @@ def run_metrics(
     def write(item) -> list[Outcome]:
         group, df = item
         counted = Observation()
-        counts = [F.count_if(F.col("metric_id") == d.metric_id).alias(d.metric_id) for d in group]
-        rows = enrich_assets(df, assets).select(*schemas.DETAIL.fieldNames())
+        counts = [
+            F.sum(F.when(F.col("metric_id") == d.metric_id, F.col(COPIES))).alias(d.metric_id)
+            for d in group
+        ]
+        rows = enrich_assets(df, assets).select(*COMPACT.fieldNames())
         try:
             replace_partitions(rows.observe(counted, *counts), staging, ["metric_id"])
         except PySparkException as e:
@@ -207,13 +228,10 @@ def run_metrics(
                 for single in _plan([d], tables, as_of, singles):
                     singles += write(single)
             return singles
-        found = counted.get
-        return [
-            Outcome(d.name, "measured" if found[d.metric_id] else "empty", "", found[d.metric_id])
-            for d in group
-        ]
+        found = {d.name: counted.get[d.metric_id] or 0 for d in group}
+        return [Outcome(m, "measured" if n else "empty", "", n) for m, n in found.items()]
 
     with ThreadPoolExecutor(CONCURRENT_METRICS) as pool:
         for outcomes in pool.map(write, planned):
             report += outcomes
-    return MetricRun(read_or_empty(tables.spark, staging, schemas.DETAIL), report)
+    return MetricRun(read_or_empty(tables.spark, staging, COMPACT), report)

@@ -28,17 +28,22 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     return empty_table(spark, schema)
 
 
-def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+def replace_partitions(
+    df: DataFrame, path: str, partition_by: Sequence[str], rebalance: bool = True
+) -> None:
     """Replace exactly the partitions that ``df`` has rows for.
 
     When the partition columns are the keys of a delete-and-insert, this is that
     operation without reading, shuffling or rewriting any of the history.  Task
     output is staged and moved on job commit, so lost executors and reruns leave
     no partial or doubled rows.
+
+    ``rebalance`` evens out file sizes, splitting partitions that hold most of the rows;
+    without it every task writes a file to every partition it has rows for.
     """
+    rows = df.hint("rebalance", *partition_by) if rebalance else df
     (
-        df.hint("rebalance", *partition_by)
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)

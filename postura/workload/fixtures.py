@@ -81,11 +81,14 @@ class Fixtures:
 
     @cached_property
     def users(self) -> DataFrame:
-        day = F.col("o_orderdate").cast("date").cast("string")
+        day = F.col("o_orderdate").cast("date")
         logins = (
             self.table("orders")
             .groupBy("o_custkey")
-            .agg(F.max(day).alias("last_login"), F.min(day).alias("password_changed"))
+            .agg(
+                F.max(day).cast("string").alias("last_login"),
+                F.min(day).cast("string").alias("password_changed"),
+            )
         )
         return (
             self.table("customer")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from postura import schemas
 from postura.functions.dates import to_date_lenient
 from postura.operators.maintenance import upsert_summary
-from postura.operators.rollups import summarise
+from postura.operators.rollups import metric_scores, summarise
 from postura.plans.catalogue import shipped_metrics
 from postura.plans.runner import plan_metrics
 from postura.session import scratch_path
@@ -197,8 +197,8 @@ def metric_library(f: Fixtures):
     """The library by category with each metric's target range and what it measured."""
     definitions = shipped_metrics()
     run = plan_metrics(definitions, f.raw, AS_OF)
-    measured = run.detail.groupBy("metric_id").agg(
-        F.count(F.lit(1)).alias("resources"), F.sum("compliance").alias("compliant")
+    measured = metric_scores(run.rows).select(
+        "metric_id", F.col("total").alias("resources"), F.col("totalok").alias("compliant")
     )
     return library_listing(library_frame(f.spark, definitions)).join(measured, "metric_id")
 

@@ -9,7 +9,8 @@ from postura.functions.numbers import lenient_number, safe_ratio
 from postura.functions.predicates import compliance, holds
 from postura.operators.assets import enrich_assets
 from postura.operators.maintenance import union_metrics
-from postura.operators.matching import entity_vs_findings
+from postura.operators.matching import entity_vs_findings, expand
+from postura.operators.rollups import metric_scores
 from postura.plans import catalogue
 from postura.plans.catalogue import shipped_metrics
 from postura.plans.publish import Store, publish
@@ -114,7 +115,7 @@ def stamp(f: Fixtures):
 )
 def join_left_residual(f: Fixtures):
     urgent = (F.col("cve.severity") == "CRITICAL") & (F.col("status") == "open")
-    return entity_vs_findings(f.hosts, f.vulns, "device_id", "aid", urgent)
+    return expand(entity_vs_findings(f.hosts, f.vulns, "device_id", "aid", urgent))
 
 
 @query(
@@ -125,8 +126,9 @@ def join_left_residual(f: Fixtures):
        from m_vulnerabilities_critical r left join f_assets using (resource, resource_type)""",
 )
 def asset_enrich(f: Fixtures):
+    """Owners are looked up for the compact rows, before they are multiplied back."""
     measured = catalogue.vulnerabilities_critical(f.raw, AS_OF).drop("detail")
-    return enrich_assets(measured, f.assets)
+    return expand(enrich_assets(measured, f.assets))
 
 
 @query(
@@ -140,8 +142,8 @@ def union(f: Fixtures):
     return union_metrics(
         [
             catalogue.identity_dormant(f.raw, AS_OF),
-            catalogue.user_awareness(f.raw, AS_OF).select("compliance", "resource", "resource_type"),
-            catalogue.vulnerabilities_critical(f.raw, AS_OF).select(
+            expand(catalogue.user_awareness(f.raw, AS_OF).drop("detail")),
+            expand(catalogue.vulnerabilities_critical(f.raw, AS_OF)).select(
                 "detail", "compliance", "resource_type", "resource"
             ),
         ]
@@ -152,7 +154,7 @@ def _register_metric(metric_id: str) -> None:
     @query(f"metric_{metric_id}", f"select * from m_{metric_id}")
     def one(f: Fixtures):
         (definition,) = shipped_metrics(metric_id)
-        return definition.build(f.raw, AS_OF)
+        return expand(definition.build(f.raw, AS_OF))
 
 
 for _definition in shipped_metrics():
@@ -165,7 +167,7 @@ for _definition in shipped_metrics():
        from m_development_vulnerabilities""",
 )
 def development_inverted(f: Fixtures):
-    return catalogue.development_vulnerabilities(f.raw, AS_OF, invert=True)
+    return expand(catalogue.development_vulnerabilities(f.raw, AS_OF, invert=True))
 
 
 @query(
@@ -214,6 +216,17 @@ def metric_run(f: Fixtures):
     return plan_metrics(shipped_metrics(), f.raw, AS_OF, f.assets).detail
 
 
+@query(
+    "metric_run_summary",
+    """select metric_id, sum(totalok) as totalok, cast(sum(total) as bigint) as total,
+         round_even(sum(totalok) / sum(total) * 100, 2) as score
+       from m_summary group by metric_id""",
+)
+def metric_run_summary(f: Fixtures):
+    """Scores of a run, from its compact rows."""
+    return metric_scores(plan_metrics(shipped_metrics(), f.raw, AS_OF, f.assets).rows)
+
+
 @query("publish_run", "select * from m_summary")
 def publish_run(f: Fixtures):
     """A whole run: measured, staged, both tables replaced, both copies published; twice."""
@@ -221,7 +234,7 @@ def publish_run(f: Fixtures):
     for _ in range(2):
         staging = scratch_path(f.spark, "staging")
         run = run_metrics(shipped_metrics(), f.raw, AS_OF, staging, f.assets)
-        publish(run.detail, store, AS_OF)
+        publish(run, store, AS_OF)
     return store.read_summary(f.spark)
 
 
