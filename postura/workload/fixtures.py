@@ -11,11 +11,15 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postura import schemas
 from postura.operators.rollups import summarise
+from postura.operators.selection import last_year
 from postura.operators.sizing import local_table
+from postura.session import scratch_path
 from postura.sources.raw import RawTables
+from postura.sources.tables import read_table
 
 AS_OF = dt.date(2001, 8, 2)
 YEAR_END = dt.date(2001, 11, 4)
@@ -38,13 +42,23 @@ def _case(column: str, values: dict[str, str], default: str | None = None) -> Co
     return c
 
 
+# Schemas of the given tables, by path: footers are read once per process.
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 class Fixtures:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = spark
         self.sf_dir = sf_dir
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._tables:
+            path = f"{self.sf_dir}/{name}.parquet"
+            if path not in _SCHEMAS:
+                _SCHEMAS[path] = self.spark.read.parquet(path).schema
+            self._tables[name] = self.spark.read.schema(_SCHEMAS[path]).parquet(path)
+        return self._tables[name]
 
     # --- raw tables --------------------------------------------------------------------
 
@@ -220,6 +234,17 @@ class Fixtures:
     def summary(self) -> DataFrame:
         return summarise(self.detail)
 
+    @cached_property
+    def stored_year(self) -> DataFrame:
+        """The summary's last year as reports find it: a table on storage.
+
+        The samplers look at it twice and some reports more often; stored, the joins below
+        it run once, and only for that year's rows.
+        """
+        path = scratch_path(self.spark, "summary")
+        last_year(self.summary, YEAR_END).write.parquet(path)
+        return read_table(self.spark, path, schemas.SUMMARY)
+
     # --- table maintenance -------------------------------------------------------------
 
     @cached_property

@@ -25,7 +25,7 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def _sampled(f: Fixtures) -> DataFrame:
-    return sampling.v_summary(f.summary, YEAR_END)
+    return sampling.v_summary(f.stored_year, YEAR_END)
 
 
 # --- filters ---------------------------------------------------------------------------
@@ -50,7 +50,7 @@ def filter_all(f: Fixtures):
     "select * from f_summary where datestamp = (select max(datestamp) from f_summary)",
 )
 def latest_date(f: Fixtures):
-    return selection.latest_only(f.summary).select(*f.summary.columns)
+    return selection.latest_only(f.summary).select(*schemas.SUMMARY.fieldNames())
 
 
 @query(
@@ -258,7 +258,7 @@ def v_summary(f: Fixtures):
          where r < 12 or r = n) d using (datestamp)""",
 )
 def v_summary_keep_latest(f: Fixtures):
-    return sampling.v_summary(f.summary, YEAR_END, keep_latest=True)
+    return sampling.v_summary(f.stored_year, YEAR_END, keep_latest=True)
 
 
 @query(
@@ -271,7 +271,8 @@ def v_summary_keep_latest(f: Fixtures):
            or (p >= 1 and p < n - 1 and (p - 1) % ((n - 2) // 10) = 0 and (p - 1) // ((n - 2) // 10) < 10))""",
 )
 def summary_csv_sample(f: Fixtures):
-    return sampling.summary_sample(f.summary, YEAR_END).select(*f.summary.columns)
+    sample = sampling.summary_sample(f.stored_year, YEAR_END)
+    return sample.select(*schemas.SUMMARY.fieldNames())
 
 
 # --- scores ----------------------------------------------------------------------------
