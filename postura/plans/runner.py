@@ -12,10 +12,10 @@ import re
 import uuid
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -106,11 +106,15 @@ def check_contract(df: DataFrame) -> DataFrame:
     return df
 
 
-def stamp_metadata(df: DataFrame, definition: MetricDefinition, as_of) -> DataFrame:
-    """Add the definition's metadata and the run date to one metric's rows."""
+def check_metadata(definition: MetricDefinition) -> None:
     missing = definition.missing_metadata()
     if missing:
         raise MetadataError(f"definition lacks {', '.join(missing)}")
+
+
+def stamp_metadata(df: DataFrame, definition: MetricDefinition, as_of) -> DataFrame:
+    """Add the definition's metadata and the run date to one metric's rows."""
+    check_metadata(definition)
     values = {
         name: F.lit(getattr(definition, name)).cast(schemas.LIBRARY[name].dataType)
         for name in schemas.METADATA
@@ -133,6 +137,7 @@ def _contract_rows(df: DataFrame, *extra: str) -> DataFrame:
 
 def measure(definition: MetricDefinition, tables: RawTables, as_of: dt.date) -> DataFrame:
     """The stamped rows of one metric."""
+    check_metadata(definition)
     if definition.build is not None:
         result = definition.build(tables, as_of)
     elif definition.query:
@@ -204,22 +209,16 @@ def run_metrics(
     """Measure and write the rows to ``staging``, each metric in a job of its own.
 
     So a metric failing at run time takes no other with it, and the run is computed once
-    however often it is read afterwards.  Rows are counted while they are written; a retried
-    stage may count some twice, so the numbers size tasks and tell "none" from "some".
+    however often it is read afterwards.  ``staging`` is a path of this run alone.
     """
     report: list[Outcome] = []
     planned = [p for g in _groups(definitions) for p in _plan(g, tables, as_of, report)]
 
     def write(item) -> list[Outcome]:
         group, df = item
-        counted = Observation()
-        counts = [
-            F.sum(F.when(F.col("metric_id") == d.metric_id, F.col(COPIES))).alias(d.metric_id)
-            for d in group
-        ]
         rows = enrich_assets(df, assets).select(*COMPACT.fieldNames())
         try:
-            replace_partitions(rows.observe(counted, *counts), staging, ["metric_id"])
+            replace_partitions(rows, staging, ["metric_id"])
         except PySparkException as e:
             if len(group) == 1:
                 return [Outcome(group[0].name, "failed", str(e).splitlines()[0])]
@@ -228,10 +227,14 @@ def run_metrics(
                 for single in _plan([d], tables, as_of, singles):
                     singles += write(single)
             return singles
-        found = {d.name: counted.get[d.metric_id] or 0 for d in group}
-        return [Outcome(m, "measured" if n else "empty", "", n) for m, n in found.items()]
+        return [Outcome(d.name, "measured") for d in group]
 
     with ThreadPoolExecutor(CONCURRENT_METRICS) as pool:
-        for outcomes in pool.map(write, planned):
-            report += outcomes
-    return MetricRun(read_or_empty(tables.spark, staging, COMPACT), report)
+        written = [o for outcomes in pool.map(write, planned) for o in outcomes]
+    rows = read_or_empty(tables.spark, staging, COMPACT)
+    counts = dict(rows.groupBy("metric_id").agg(F.sum(COPIES)).collect())
+    for o in written:
+        n = counts.get(o.metric_id, 0)
+        found = replace(o, status=o.status if n else "empty", rows=n)
+        report.append(o if o.status == "failed" else found)
+    return MetricRun(rows, report)
