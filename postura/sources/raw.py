@@ -50,7 +50,11 @@ def require_tables(spark: SparkSession, root: str, tags: Sequence[str]) -> None:
 
 
 class RawTables:
-    """What a metric may ``ref``: tables under a root, or ready DataFrames by tag."""
+    """What a metric may ``ref``: tables under a root, or ready DataFrames by tag.
+
+    A table that is missing under ``root`` is looked for under ``backup``, where the last
+    good delivery is kept.
+    """
 
     def __init__(
         self,
@@ -59,20 +63,25 @@ class RawTables:
         tables: Mapping[str, DataFrame] | None = None,
         table_schemas: Mapping[str, T.StructType] | None = None,
         fmt: str = "json",
+        backup: str | None = None,
     ) -> None:
         self.spark = spark
-        self.root = root
+        self.roots = [r for r in (root, backup) if r]
         self.fmt = fmt
         self._schemas = dict(table_schemas or {})
         self._tables = dict(tables or {})
 
     def ref(self, tag: str) -> DataFrame:
         if tag not in self._tables:
-            if self.root is None:
-                raise MissingTable(f"no data for table {tag!r}")
-            self._tables[tag] = ref(self.spark, self.root, tag, self._schemas.get(tag), self.fmt)
+            self._tables[tag] = self._find(tag)
         return self._tables[tag]
 
+    def _find(self, tag: str) -> DataFrame:
+        for root in self.roots:
+            if has_files(self.spark, table_path(root, tag)):
+                return ref(self.spark, root, tag, self._schemas.get(tag), self.fmt)
+        raise MissingTable(f"no data for table {tag!r} under {' or '.join(self.roots) or 'any root'}")
+
 
 def land(df: DataFrame, root: str, tag: str, fmt: str = "parquet") -> None:
     """Replace the snapshot of each tenancy in ``df``; leave the other tenancies alone.

@@ -154,17 +154,7 @@ class Fixtures:
 
     @cached_property
     def raw(self) -> RawTables:
-        return RawTables(
-            self.spark,
-            tables={
-                "crowdstrike_hosts": self.hosts,
-                "crowdstrike_vulnerabilities": self.vulns,
-                "okta_users": self.users,
-                "knowbe4_enrollments": self.enrollments,
-                "snyk_projects": self.projects,
-                "snyk_issues": self.issues,
-            },
-        )
+        return FixtureTables(self)
 
     # --- dimensions, detail, summary ---------------------------------------------------
 
@@ -308,3 +298,25 @@ class Fixtures:
                 F.col("o_orderstatus").alias("parent"), F.struct("resources").alias("body"), "total"
             )
         )
+
+
+class FixtureTables(RawTables):
+    """The raw tables by the names metrics know, built when a metric asks for them."""
+
+    PROPERTIES = {
+        "crowdstrike_hosts": "hosts",
+        "crowdstrike_vulnerabilities": "vulns",
+        "okta_users": "users",
+        "knowbe4_enrollments": "enrollments",
+        "snyk_projects": "projects",
+        "snyk_issues": "issues",
+    }
+
+    def __init__(self, fixtures: Fixtures) -> None:
+        super().__init__(fixtures.spark)
+        self.fixtures = fixtures
+
+    def _find(self, tag: str) -> DataFrame:
+        if tag in self.PROPERTIES:
+            return getattr(self.fixtures, self.PROPERTIES[tag])
+        return super()._find(tag)

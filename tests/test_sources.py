@@ -169,3 +169,32 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     assert session.shared_root(spark) == named
     assert session.scratch_path(spark, "x").startswith(named)
     assert session.scratch_path(spark, "x") != session.scratch_path(spark, "x")
+
+
+def test_backup_is_used_only_where_current_data_is_missing(spark, tmp_path):
+    one = spark.createDataFrame([("1",)], "id string")
+    two = spark.createDataFrame([("2",)], "id string")
+    root, backup = str(tmp_path / "now"), str(tmp_path / "backup")
+    raw.land(with_lineage(one, "a", AT), root, "snyk_organizations")
+    for tag in ("snyk_organizations", "snyk_projects"):
+        raw.land(with_lineage(two, "a", AT), backup, tag)
+    found = raw.RawTables(spark, root, fmt="parquet", backup=backup)
+    assert rows(found.ref("snyk_organizations"), "id") == [("1",)]
+    assert rows(found.ref("snyk_projects"), "id") == [("2",)]
+    with pytest.raises(raw.MissingTable, match="snyk_issues"):
+        found.ref("snyk_issues")
+
+
+def test_history_keeps_every_upload(spark, tmp_path):
+    df = spark.createDataFrame([("1",)], "id string")
+    for at in (AT, AT, AT + dt.timedelta(days=1)):
+        raw.append_history(with_lineage(df, "acme", at), str(tmp_path), "hosts")
+    kept = spark.read.parquet(str(tmp_path))
+    assert kept.count() == 3
+    assert (tmp_path / "tag=hosts" / "tenancy=acme" / "year=2001" / "month=08" / "day=03").is_dir()
+
+
+def test_json_twin_of_a_published_table(spark, tmp_path):
+    df = spark.createDataFrame([("m", 0.5)], "metric_id string, slo double")
+    df.write.json(str(tmp_path / "j"))
+    assert rows(tables.read_json_rows(spark, str(tmp_path / "j"), df.schema)) == [("m", 0.5)]
