@@ -45,19 +45,26 @@ def _measured(df: DataFrame, resource: str, kind: str, ok: Column, detail: Colum
 # --- hosts against vulnerabilities -----------------------------------------------------
 
 
-def _urgent(_: DateLike) -> Column:
-    return F.col("status").isin(*OPEN_STATES) & F.col("cve.severity").isin(*URGENT)
+def _finding_field(findings: DataFrame, name: str) -> Column:
+    """A field of the finding itself where it is delivered there, else of its ``cve``."""
+    return F.col(name if name in findings.columns else f"cve.{name}")
 
 
-def _urgent_overdue(as_of: DateLike) -> Column:
+def _urgent(findings: DataFrame, as_of: DateLike) -> Column:
+    severity = _finding_field(findings, "severity")
+    return F.col("status").isin(*OPEN_STATES) & severity.isin(*URGENT)
+
+
+def _urgent_overdue(findings: DataFrame, as_of: DateLike) -> Column:
+    published = _finding_field(findings, "published_date")
     return (
-        _urgent(as_of)
-        & older_than("cve.published_date", as_of, PUBLISHED_DAYS)
+        _urgent(findings, as_of)
+        & older_than(published, as_of, PUBLISHED_DAYS)
         & older_than("created_timestamp", as_of, CREATED_DAYS)
     )
 
 
-def _exploitable_patchable(_: DateLike) -> Column:
+def _exploitable_patchable(findings: DataFrame, as_of: DateLike) -> Column:
     return (
         F.col("status").isin(*OPEN_STATES)
         & (F.col("cve.remediation_level") == OFFICIAL_FIX)
@@ -65,7 +72,7 @@ def _exploitable_patchable(_: DateLike) -> Column:
     )
 
 
-HOST_CONDITIONS: dict[str, Callable[[DateLike], Column]] = {
+HOST_CONDITIONS: dict[str, Callable[[DataFrame, DateLike], Column]] = {
     "vulnerabilities_critical": _urgent,
     "vulnerabilities_critical_patching": _urgent_overdue,
     "vulnerabilities_explot_patchable": _exploitable_patchable,
@@ -82,12 +89,13 @@ def host_metrics(
 
     One scan and one shuffle of the findings answer all of ``metric_ids``.
     """
+    findings = tables.ref("crowdstrike_vulnerabilities")
     counted = match_counts(
         tables.ref("crowdstrike_hosts").select("device_id", "hostname"),
-        tables.ref("crowdstrike_vulnerabilities"),
+        findings,
         "device_id",
         "aid",
-        {m: HOST_CONDITIONS[m](as_of) for m in metric_ids},
+        {m: HOST_CONDITIONS[m](findings, as_of) for m in metric_ids},
     )
     answers = F.array(
         *[F.struct(F.lit(m).alias("metric_id"), F.col(m).alias("_matches")) for m in metric_ids]

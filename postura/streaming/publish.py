@@ -28,15 +28,17 @@ def stream_rows(
     path: str,
     schema: T.StructType = schemas.DETAIL,
     fmt: str = "json",
-    files_per_batch: int = 1000,
+    files_per_batch: int | None = None,
 ) -> DataFrame:
-    """Rows of the files landing in ``path``; a batch takes a bounded number of files."""
-    return (
-        spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .format(fmt)
-        .load(path)
-    )
+    """Rows of the files landing in ``path``.
+
+    A batch takes all that has landed since the last one.  ``files_per_batch`` bounds it,
+    which may cut a metric-day in two: for ``accumulated_summary`` only.
+    """
+    reader = spark.readStream.schema(schema).format(fmt)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.load(path)
 
 
 def stream_publish(rows: DataFrame, log_path: str, checkpoint: str) -> StreamingQuery:
@@ -60,8 +62,8 @@ def stream_publish(rows: DataFrame, log_path: str, checkpoint: str) -> Streaming
 def replaced_summary(spark: SparkSession, log_path: str) -> DataFrame:
     """The summary where the newest batch of a (metric, date) replaces the earlier ones.
 
-    For sources whose files, and so batches, hold their metric-days completely: late or
-    repeated files replace what they sent before.
+    For deliveries that hold their metric-days completely and land as a whole: a late or
+    repeated one replaces what came before.
     """
     log = spark.read.schema(_LOG).parquet(log_path)
     newest = latest_snapshot(log, schemas.SUMMARY_REPLACE_KEYS, BATCH)

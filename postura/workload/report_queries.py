@@ -517,25 +517,36 @@ def metrics_page(f: Fixtures):
 # --- streaming -------------------------------------------------------------------------
 
 
-def _published_log(f: Fixtures, rows: DataFrame) -> str:
-    """``rows`` landed as JSON files and streamed into a summary log, a few files per batch."""
-    landed, log = scratch_path(f.spark, "stream_in"), scratch_path(f.spark, "stream_log")
-    rows.write.json(landed)
-    arriving = streaming.stream_rows(f.spark, landed, files_per_batch=2)
-    checkpoint = scratch_path(f.spark, "stream_state")
-    streaming.stream_publish(arriving, log, checkpoint).awaitTermination()
-    return log
+class _Stream:
+    """A folder rows are delivered to, and the summary log streamed from it."""
+
+    def __init__(self, f: Fixtures) -> None:
+        self.spark = f.spark
+        self.landed = scratch_path(f.spark, "stream_in")
+        self.log = scratch_path(f.spark, "stream_log")
+        self.checkpoint = scratch_path(f.spark, "stream_state")
+
+    def deliver(self, rows: DataFrame, files_per_batch: int | None = None) -> None:
+        rows.write.mode("append").json(self.landed)
+        arriving = streaming.stream_rows(self.spark, self.landed, files_per_batch=files_per_batch)
+        streaming.stream_publish(arriving, self.log, self.checkpoint).awaitTermination()
 
 
 @query("stream_summary_upsert", "select * from f_summary")
 def stream_upsert(f: Fixtures):
-    """Files holding whole metric-days: each batch replaces its keys."""
-    log = _published_log(f, f.detail.repartition("metric_id", "datestamp"))
-    return streaming.replaced_summary(f.spark, log)
+    """A first delivery gets three metrics' July wrong; a second one replaces those."""
+    in_july = F.col("datestamp").between("2001-07-01", "2001-07-31")
+    wrong = in_july & F.col("metric_id").isin("economy", "large", "small")
+    compliance = F.when(wrong, 1 - F.col("compliance")).otherwise(F.col("compliance"))
+    stream = _Stream(f)
+    stream.deliver(f.detail.withColumn("compliance", compliance))
+    stream.deliver(f.run_detail)
+    return streaming.replaced_summary(f.spark, stream.log)
 
 
 @query("stream_summary_accumulate", "select * from f_summary")
 def stream_sum(f: Fixtures):
     """Metric-days spread over files and batches: partial sums are added up."""
-    log = _published_log(f, f.detail.repartition("resource"))
-    return streaming.accumulated_summary(f.spark, log)
+    stream = _Stream(f)
+    stream.deliver(f.detail.repartition("resource"), files_per_batch=2)
+    return streaming.accumulated_summary(f.spark, stream.log)

@@ -151,6 +151,18 @@ def test_family_equals_single_metrics(tables):
     assert rows(together) == sorted((r for a in apart for r in rows(a)), key=str)
 
 
+def test_finding_fields_may_be_delivered_outside_the_cve(spark, tables):
+    """A top-level severity or publication date goes before the one of the ``cve``."""
+    vulns = tables.ref("crowdstrike_vulnerabilities").withColumns(
+        {"severity": F.lit("LOW"), "published_date": F.lit("2001-08-01")}
+    )
+    hosts = tables.ref("crowdstrike_hosts")
+    flat = RawTables(spark, tables={"crowdstrike_hosts": hosts, "crowdstrike_vulnerabilities": vulns})
+    for metric_id, failing in (("vulnerabilities_critical", 0), ("vulnerabilities_explot_patchable", 3)):
+        run = plan_metrics(shipped_metrics(metric_id), flat, AS_OF)
+        assert run.detail.filter("compliance = 0").count() == failing
+
+
 def test_missing_raw_table(spark, tmp_path):
     with pytest.raises(MissingTable):
         RawTables(spark, root=str(tmp_path)).ref("okta_users")

@@ -26,7 +26,7 @@ def arrive(df, places):
     df.coalesce(1).write.mode("append").json(places["landed"])
 
 
-def run(spark, places, files=1):
+def run(spark, places, files=None):
     rows_in = stream_rows(spark, places["landed"], files_per_batch=files)
     stream_publish(rows_in, places["log"], places["state"]).awaitTermination()
 
