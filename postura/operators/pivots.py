@@ -13,6 +13,15 @@ from postura.operators.selection import select_series
 
 Order = Column | str | None
 
+# Fixed value: the label of a blank dimension.
+NO_DIMENSION = "None"
+
+
+def dimension_label(name: str) -> Column:
+    """The value of a dimension as charts name it."""
+    c = F.col(name).cast("string")
+    return F.when(c.isNull() | (c == ""), F.lit(NO_DIMENSION)).otherwise(c)
+
 
 def _last(field: str, order_by: Order) -> Column:
     if order_by is None:
@@ -44,7 +53,7 @@ def pivot_data(
     )
 
 
-def series_names(df: DataFrame, x: str, z: str, all_series: bool = False) -> list:
+def series_names(df: DataFrame, x: str, z: str, all_series: bool = False) -> list[str]:
     """The series a chart shows: those with a point at the last ``x``, or all.
 
     The caller's frame is a report (dates by dimension), so this is a short list;
@@ -61,12 +70,16 @@ def series_names(df: DataFrame, x: str, z: str, all_series: bool = False) -> lis
     return sorted(names)
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def chart_wide(
     df: DataFrame,
     x: str,
     ys: Sequence[str],
     z: str | None = None,
-    series: Sequence | None = None,
+    series: Sequence[str] | None = None,
     all_series: bool = False,
     order_by: Order = None,
 ) -> DataFrame:
@@ -79,12 +92,12 @@ def chart_wide(
         wide = select_series(df, x, ys)
         values = [c for c in wide.columns if c != x]
     else:
+        df = df.withColumn(z, dimension_label(z))
         values = list(series) if series is not None else series_names(df, x, z, all_series)
         y = F.col(ys[0])
         cell = F.max(y) if order_by is None else F.max_by(y, as_column(order_by))
         wide = df.groupBy(x).pivot(z, values).agg(cell)
-        values = [str(v) for v in values]
-    cells = {v: F.coalesce(F.nanvl(F.col(f"`{v}`"), F.lit(0.0)), F.lit(0.0)) for v in values}
+    cells = {v: F.coalesce(F.nanvl(F.col(_quoted(v)), F.lit(0.0)), F.lit(0.0)) for v in values}
     return wide.withColumns(cells).orderBy(x)
 
 

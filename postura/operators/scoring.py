@@ -16,14 +16,13 @@ from postura.functions.bands import rag_columns
 from postura.functions.dates import as_column
 from postura.functions.numbers import safe_ratio
 from postura.functions.predicates import apply_filters
-from postura.operators.pivots import pivot_data
+from postura.operators.pivots import dimension_label, pivot_data
 from postura.operators.selection import latest_only
 
 Filters = Mapping[str, object] | None
 
-# The filter choice meaning "no filter", and the label of a blank dimension.
+# Fixed value: the filter choice meaning "no filter".
 ALL = "All"
-NO_DIMENSION = "None"
 
 
 def _weighted(summary: DataFrame, filters: Filters, axis: str) -> DataFrame:
@@ -73,11 +72,6 @@ def categories_ranked(summary: DataFrame, filters: Filters = None) -> DataFrame:
     )
 
 
-def _dimension_label(name: str) -> Column:
-    c = F.col(name).cast("string")
-    return F.when(c.isNull() | (c == ""), F.lit(NO_DIMENSION)).otherwise(c)
-
-
 def weighted_score(
     summary: DataFrame,
     filters: Filters = None,
@@ -95,7 +89,7 @@ def weighted_score(
     rows = apply_filters(summary, filters)
     keys = ["datestamp"]
     if dimension is not None:
-        rows = rows.withColumn(dimension, _dimension_label(dimension))
+        rows = rows.withColumn(dimension, dimension_label(dimension))
         keys.append(dimension)
 
     def last(name: str) -> Column:

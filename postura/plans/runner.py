@@ -14,7 +14,6 @@ from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,9 +46,6 @@ class MetadataError(ValueError):
     """A metric's definition lacks a required key."""
 
 
-NOT_MEASURABLE = (MissingTable, ContractError, MetadataError, PySparkException)
-
-
 @dataclass(frozen=True)
 class Outcome:
     metric_id: str
@@ -156,6 +152,12 @@ def measure_family(
     return stamp_family(_contract_rows(result, "metric_id"), definitions, as_of)
 
 
+def _failed(definition: MetricDefinition, error: Exception) -> Outcome:
+    """A metric's own code or data may raise anything; it only costs that metric."""
+    reason = (str(error).splitlines() or [""])[0]
+    return Outcome(definition.name, "failed", f"{type(error).__name__}: {reason}")
+
+
 def _groups(definitions: Iterable[MetricDefinition]) -> list[list[MetricDefinition]]:
     """Definitions to measure together: by family where complete, else one by one."""
     groups: dict[str, list[MetricDefinition]] = {}
@@ -169,14 +171,14 @@ def _plan(group, tables, as_of, report) -> list[tuple[list[MetricDefinition], Da
     if len(group) > 1:
         try:
             return [(group, measure_family(group, tables, as_of))]
-        except NOT_MEASURABLE:
+        except Exception:  # noqa: BLE001
             # Find out which of them can be measured after all.
             return [p for d in group for p in _plan([d], tables, as_of, report)]
     (definition,) = group
     try:
         return [(group, measure(definition, tables, as_of))]
-    except NOT_MEASURABLE as e:
-        report.append(Outcome(definition.name, "failed", str(e).splitlines()[0]))
+    except Exception as e:  # noqa: BLE001
+        report.append(_failed(definition, e))
         return []
 
 
@@ -219,9 +221,9 @@ def run_metrics(
         rows = enrich_assets(df, assets).select(*COMPACT.fieldNames())
         try:
             replace_partitions(rows, staging, ["metric_id"])
-        except PySparkException as e:
+        except Exception as e:  # noqa: BLE001
             if len(group) == 1:
-                return [Outcome(group[0].name, "failed", str(e).splitlines()[0])]
+                return [_failed(group[0], e)]
             singles: list[Outcome] = []
             for d in group:
                 for single in _plan([d], tables, as_of, singles):

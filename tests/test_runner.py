@@ -78,6 +78,7 @@ BROKEN = [
     meta("bad_sql", query="selekt 1"),
     meta("unknown_field", query="select nope from {{ ref('crowdstrike_hosts') }}"),
     meta("no_query"),
+    meta("own_code", build=lambda tables, as_of: {}["missing"]),
     meta("no_weight", weight=None, query="select 1"),
 ]
 GOOD = meta(

@@ -143,6 +143,11 @@ def test_chart(spark):
     assert rows(series_latest(points.filter("z <> 'c'"), "x", "y", "z")) == [("a", 0.2), ("b", 0.3)]
 
 
+def test_blank_and_odd_series_names(spark):
+    points = spark.createDataFrame([(1, None, 0.1), (1, "a.b", 0.2), (1, "c`d", 0.3)], "x int, z string, y double")
+    assert chart_wide(points, "x", ["y"], "z").first().asDict() == {"x": 1, "None": 0.1, "a.b": 0.2, "c`d": 0.3}
+
+
 def test_last_point_wins_in_a_chart_cell(spark):
     points = spark.createDataFrame([(1, "a", 0.9, 1), (1, "a", 0.1, 2)], "x int, z string, y double, i int")
     assert chart_wide(points, "x", ["y"], "z", series=["a"], order_by="i").first()["a"] == 0.1
