@@ -14,11 +14,11 @@ from postura.functions.dates import DateLike, date_minus
 def latest_only(df: DataFrame, date_col: str = "datestamp") -> DataFrame:
     """Rows of the newest date.
 
-    The newest date is one row by construction and joins as such, so on a
-    date-partitioned table only that date's files are read.
+    The newest date is a scalar subquery: it is known before the rows are read, so on a
+    date-partitioned table only that date's files are opened.
     """
-    newest = df.agg(F.max(date_col).alias(date_col))
-    return df.join(newest, date_col, "left_semi")
+    newest = df.agg(F.max(date_col)).scalar()
+    return df.filter(F.col(date_col) == newest)
 
 
 def last_year(

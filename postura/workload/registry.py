@@ -18,7 +18,7 @@ class Entry:
     build: Build
     sql: str | None
 
-    def __call__(self, spark: SparkSession, sf_dir: str) -> DataFrame:
+    def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         return self.build(Fixtures(spark, sf_dir))
 
 

@@ -9,13 +9,14 @@ import pytest
 
 import __spark_entry__
 from postura import schemas
+from postura.operators.maintenance import replace_keys
+from postura.operators.rollups import summarise
 from postura.operators.sampling import v_summary
-from postura.plans.catalogue import host_metrics, vulnerabilities_critical
+from postura.operators.selection import last_year, latest_only
+from postura.plans.catalogue import host_metrics, shipped_metrics, vulnerabilities_critical
 from postura.plans.runner import plan_metrics
-from postura.plans.catalogue import shipped_metrics
-from postura.operators.rollups import summarise
-from postura.sources.raw import RawTables, land
 from postura.sources.lineage import with_lineage
+from postura.sources.raw import RawTables, land
 from postura.sources.tables import read_table, replace_partitions
 from postura.workload.fixtures import AS_OF, Fixtures
 from tests.test_tables import detail
@@ -86,10 +87,30 @@ def test_filters_and_columns_reach_the_raw_files(spark, tmp_path):
     assert "ReadSchema: struct<aid:string,status:string,cve:struct<severity:string>>" in text
 
 
-def test_sampled_dates_prune_partitions(spark, tmp_path):
+@pytest.fixture
+def stored(spark, tmp_path):
     rows = detail(spark, *[(dt.date(2001, 1, d), "a", "h", 1.0) for d in range(1, 29)])
     path = str(tmp_path / "summary")
     replace_partitions(summarise(rows), path, schemas.SUMMARY_REPLACE_KEYS)
-    text = plan(v_summary(read_table(spark, path, schemas.SUMMARY), dt.date(2001, 2, 1)))
+    return read_table(spark, path, schemas.SUMMARY)
+
+
+def test_sampled_dates_prune_partitions(stored):
+    text = plan(v_summary(stored, dt.date(2001, 2, 1)))
     assert "dynamicpruning" in text
     assert "BroadcastHashJoin" in text
+
+
+def test_date_filters_prune_partitions(stored):
+    newest = plan(latest_only(stored))
+    assert re.search(r"PartitionFilters: \[[^]]*datestamp#\d+ = Subquery", newest)
+    kept = plan(last_year(stored, dt.date(2001, 2, 1)))
+    assert re.search(r"PartitionFilters: \[[^]]*datestamp#\d+ >= 2000-02-01", kept)
+
+
+def test_upsert_streams_over_the_history(spark, stored):
+    """The replaced keys are local; the old table is not shuffled for the anti join."""
+    run = detail(spark, (dt.date(2001, 1, 3), "a", "h", 0.0))
+    text = plan(replace_keys(stored, run, schemas.SUMMARY_REPLACE_KEYS))
+    assert "LeftAnti, BuildRight" in text
+    assert "Exchange hashpartitioning" not in text

@@ -3,6 +3,8 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from postura.operators.pivots import chart_wide, pivot_data, series_latest, series_names
@@ -183,3 +185,45 @@ def test_alert_text(spark):
     assert message["message"] == (
         "Automated Security Metric results:\n🟢 A - 100% (0)\n🟡 B - 67% (1)\n🔴 C - 25% (0.75)"
     )
+
+
+ROWS = st.lists(
+    st.tuples(
+        st.sampled_from([D1, D2]),
+        st.sampled_from("abc"),
+        st.sampled_from(["u", "v", "", None]),
+        st.integers(0, 5),
+        st.integers(1, 5),
+    ),
+    min_size=1,
+    max_size=30,
+)
+WEIGHTS = {"a": 0.2, "b": 0.8, "c": 0.4}
+
+
+@settings(max_examples=15, deadline=None)
+@given(ROWS)
+def test_scores_against_brute_force(spark, entries):
+    """Weights are constant per metric here, so both rules agree on the dates' scores."""
+    data = [row(d, m, u, min(ok, n), n, weight=WEIGHTS[m]) for d, m, u, ok, n in entries]
+    table = spark.createDataFrame(data, SCHEMA)
+
+    def expected(key):
+        sums = {}
+        for d, m, u, ok, n in entries:
+            s = sums.setdefault(key(d, u), {}).setdefault(m, [0, 0])
+            s[0] += min(ok, n)
+            s[1] += n
+        return {
+            k: round(
+                sum(ok / n * WEIGHTS[m] for m, (ok, n) in ms.items()) / sum(WEIGHTS[m] for m in ms), 9
+            )
+            for k, ms in sums.items()
+        }
+
+    by_date = expected(lambda d, u: d)
+    assert dict(values(weighted_score(table), "datestamp", "value")) == by_date
+    assert dict(values(weighted_trend(table), "datestamp", "score")) == by_date
+    assert all(0 <= v <= 1 for v in by_date.values())
+    by_unit = values(weighted_score(table, {}, "business_unit"), "datestamp", "business_unit", "value")
+    assert {(d, u): v for d, u, v in by_unit} == expected(lambda d, u: (d, u or "None"))
