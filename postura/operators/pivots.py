@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from postura.functions.dates import as_column
 from postura.functions.numbers import lenient_number
-from postura.operators.selection import select_series
+from postura.operators.selection import latest_only, select_series
 
 Order = Column | str | None
 
@@ -60,10 +60,7 @@ def series_names(df: DataFrame, x: str, z: str, all_series: bool = False) -> lis
     Spark's own bound on pivot columns is enforced all the same.
     """
     bound = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
-    source = df
-    if not all_series:
-        newest = df.agg(F.max(x).alias(x))
-        source = df.join(newest, x, "left_semi")
+    source = df if all_series else latest_only(df, x)
     names = [r[0] for r in source.select(z).distinct().limit(bound + 1).collect()]
     if len(names) > bound:
         raise ValueError(f"more than {bound} series in {z!r}")

@@ -33,7 +33,7 @@ _REF = re.compile(r"""\{\{\s*ref\(\s*['"]([^'"]+)['"]\s*\)\s*\}\}""")
 # Metrics written at the same time; each is a distributed job of its own.
 CONCURRENT_METRICS = 4
 # Detail rows a task writes.
-ROWS_PER_TASK = 1_000_000
+ROWS_PER_TASK = 5_000_000
 # The detail schema, and how many rows a row stands for.
 COMPACT = T.StructType([*schemas.DETAIL.fields, T.StructField(COPIES, T.LongType())])
 

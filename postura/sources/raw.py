@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from copy import copy
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,6 +77,12 @@ class RawTables:
             self._tables[tag] = self._find(tag)
         return self._tables[tag]
 
+    def with_table(self, tag: str, df: DataFrame) -> RawTables:
+        """The same tables with ``df`` in the place of one of them."""
+        changed = copy(self)
+        changed._tables = {**self._tables, tag: df}
+        return changed
+
     def _find(self, tag: str) -> DataFrame:
         for root in self.roots:
             if has_files(self.spark, table_path(root, tag)):

@@ -1,7 +1,7 @@
 """Publishing as files arrive.
 
-The source is a stream of detail rows, the sink a log of summary rows: each batch writes
-its sums under its batch id.  That is one partition per batch however many metric-days it
+The source is a stream of detail rows or of raw records, the sink a log of summary rows:
+each batch writes its sums under its batch id.  That is one partition per batch however many metric-days it
 touches, nothing written before is read or rewritten, no state store is kept, and a batch
 replayed after a failure overwrites itself.  What a metric-day's newest state is, is
 decided on reading; the summary is small beside the rows it sums up.
@@ -9,6 +9,9 @@ decided on reading; the summary is small beside the rows it sums up.
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,7 +19,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from postura import schemas
 from postura.operators.rollups import summarise
-from postura.sources.raw import latest_snapshot
+from postura.plans.runner import plan_metrics
+from postura.sources.library import MetricDefinition
+from postura.sources.raw import RawTables, latest_snapshot
 from postura.sources.tables import replace_partitions
 
 BATCH = "batch_id"
@@ -41,24 +46,50 @@ def stream_rows(
     return reader.load(path)
 
 
-def stream_publish(rows: DataFrame, log_path: str, checkpoint: str) -> StreamingQuery:
-    """Summarise every batch into the log, until all that has landed is read.
-
-    The batch ids come from ``checkpoint``; it has to be kept as long as the log.
-    """
-
+def _into_log(
+    arriving: DataFrame, measured: Callable[[DataFrame], DataFrame], log_path: str, checkpoint: str
+) -> StreamingQuery:
     def write(batch: DataFrame, batch_id: int) -> None:
-        rolled = summarise(batch).withColumn(BATCH, F.lit(batch_id).cast("bigint"))
+        rolled = summarise(measured(batch)).withColumn(BATCH, F.lit(batch_id).cast("bigint"))
         replace_partitions(rolled, log_path, [BATCH])
 
     return (
-        rows.writeStream.option("checkpointLocation", checkpoint)
+        arriving.writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .foreachBatch(write)
         .start()
     )
 
 
+def stream_publish(rows: DataFrame, log_path: str, checkpoint: str) -> StreamingQuery:
+    """Summarise arriving detail rows into the log, until all that has landed is read.
+
+    The batch ids come from ``checkpoint``; it has to be kept as long as the log.
+    """
+    return _into_log(rows, lambda batch: batch, log_path, checkpoint)
+
+
+def stream_metrics(
+    arriving: DataFrame,
+    tag: str,
+    definitions: Sequence[MetricDefinition],
+    tables: RawTables,
+    as_of: dt.date,
+    log_path: str,
+    checkpoint: str,
+    assets: DataFrame | None = None,
+) -> StreamingQuery:
+    """The same for arriving raw records: each delivery of ``tag`` is measured as it comes.
+
+    ``tables`` holds the other raw tables the metrics refer to.
+    """
+
+    def measured(batch: DataFrame) -> DataFrame:
+        return plan_metrics(definitions, tables.with_table(tag, batch), as_of, assets).rows
+
+    return _into_log(arriving, measured, log_path, checkpoint)
+
+
 def replaced_summary(spark: SparkSession, log_path: str) -> DataFrame:
     """The summary where the newest batch of a (metric, date) replaces the earlier ones.
 

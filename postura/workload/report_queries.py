@@ -11,9 +11,10 @@ from postura.functions.numbers import percent, safe_ratio
 from postura.functions.predicates import apply_filters
 from postura.operators import maintenance, pivots, rollups, sampling, scoring, selection
 from postura.plans import alerts, reports
+from postura.plans.catalogue import shipped_metrics
 from postura.session import scratch_path
 from postura.streaming import publish as streaming
-from postura.workload.fixtures import YEAR_END, Fixtures
+from postura.workload.fixtures import AS_OF, YEAR_END, Fixtures
 from postura.workload.registry import query
 
 UNITS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
@@ -550,3 +551,21 @@ def stream_sum(f: Fixtures):
     stream = _Stream(f)
     stream.deliver(f.detail.repartition("resource"), files_per_batch=2)
     return streaming.accumulated_summary(f.spark, stream.log)
+
+
+@query(
+    "stream_metric_run",
+    "select * from m_summary where metric_id in ('identity_dormant', 'user_awareness')",
+)
+def stream_metric_run(f: Fixtures):
+    """User records arrive in two deliveries; each is measured, the second stands."""
+    metrics = [d for d in shipped_metrics() if d.metric_id in ("identity_dormant", "user_awareness")]
+    stream = _Stream(f)
+    for users in (f.users.withColumn("last_login", F.lit("1990-01-01")), f.users):
+        users.write.mode("append").json(stream.landed)
+        schema = schemas.RAW["okta_users"]
+        arriving = streaming.stream_rows(f.spark, stream.landed, schema)
+        streaming.stream_metrics(
+            arriving, "okta_users", metrics, f.raw, AS_OF, stream.log, stream.checkpoint, f.assets
+        ).awaitTermination()
+    return streaming.replaced_summary(f.spark, stream.log)
