@@ -10,6 +10,7 @@ import zlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -49,7 +50,7 @@ def pieces(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch
         yield batch
         return
     start, held = 0, 0
-    lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0).to_pylist()
+    lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()
     for i, n in enumerate(lengths):
         held += n
         if held >= BYTES_AT_ONCE or i + 1 - start >= ROWS_AT_ONCE:

@@ -6,17 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postura.llm import bpe_codec
+from postura.llm import bpe_codec, language_id, packing
 from postura.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return language_id.predict(docs, language_id.learn(language_id.learning_rows(docs)))
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir))
+
+
 def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.round_trip(documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Query] = {
+    "op1_language_id": op1_language_id,
+    "op2_packing": op2_packing,
     "op10_bpe_codec": op10_bpe_codec,
 }
 
