@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postura.llm import bpe_codec, language_id, packing
+from postura.llm import (
+    bpe_codec,
+    disclosure,
+    hilbert_shards,
+    language_id,
+    packing,
+    tokeniser_fertility,
+    version_sketch,
+)
 from postura.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +29,22 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op3_version_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return version_sketch.compare_versions(documents(spark, sf_dir))
+
+
+def op4_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert_shards.shard_rows(documents(spark, sf_dir))
+
+
+def op5_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokeniser_fertility.judge(documents(spark, sf_dir))
+
+
+def op7_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return disclosure.report(documents(spark, sf_dir))
+
+
 def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.round_trip(documents(spark, sf_dir))
 
@@ -28,6 +52,10 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_packing": op2_packing,
+    "op3_version_sketch": op3_version_sketch,
+    "op4_hilbert_shards": op4_hilbert_shards,
+    "op5_tokeniser_fertility": op5_tokeniser_fertility,
+    "op7_disclosure": op7_disclosure,
     "op10_bpe_codec": op10_bpe_codec,
 }
 
