@@ -11,6 +11,7 @@ from postura.llm import (
     disclosure,
     hilbert_shards,
     language_id,
+    order_minhash,
     packing,
     tokeniser_fertility,
     version_sketch,
@@ -45,6 +46,10 @@ def op7_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return disclosure.report(documents(spark, sf_dir))
 
 
+def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.near_duplicates(documents(spark, sf_dir))
+
+
 def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.round_trip(documents(spark, sf_dir))
 
@@ -56,6 +61,7 @@ QUERIES: dict[str, Query] = {
     "op4_hilbert_shards": op4_hilbert_shards,
     "op5_tokeniser_fertility": op5_tokeniser_fertility,
     "op7_disclosure": op7_disclosure,
+    "op9_order_minhash": op9_order_minhash,
     "op10_bpe_codec": op10_bpe_codec,
 }
 
