@@ -15,6 +15,7 @@ from postura.llm import (
     packing,
     tokeniser_fertility,
     version_sketch,
+    weak_labels,
 )
 from postura.llm.common import documents
 
@@ -46,6 +47,11 @@ def op7_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return disclosure.report(documents(spark, sf_dir))
 
 
+def op8_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return weak_labels.judge(docs, weak_labels.learn(docs, weak_labels.read_labels(spark, sf_dir)))
+
+
 def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.near_duplicates(documents(spark, sf_dir))
 
@@ -61,6 +67,7 @@ QUERIES: dict[str, Query] = {
     "op4_hilbert_shards": op4_hilbert_shards,
     "op5_tokeniser_fertility": op5_tokeniser_fertility,
     "op7_disclosure": op7_disclosure,
+    "op8_weak_labels": op8_weak_labels,
     "op9_order_minhash": op9_order_minhash,
     "op10_bpe_codec": op10_bpe_codec,
 }
