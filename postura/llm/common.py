@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
-from postura.session import shared_root
+from postura.session import scratch_path, shared_root
 
 #: Rows and text bytes that a Python worker takes at once.
 ROWS_AT_ONCE = 1024
@@ -40,6 +40,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a table in the shared folder: cut from its lineage, and of known size when joined."""
+    path = scratch_path(df.sparkSession, f"llm-{label}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def struct_type(schema: str) -> StructType:
     return _parse_datatype_string(schema)
 

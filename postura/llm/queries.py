@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from postura.llm import (
+    attention_lm,
     bpe_codec,
     disclosure,
     hilbert_shards,
@@ -43,6 +44,10 @@ def op5_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokeniser_fertility.judge(documents(spark, sf_dir))
 
 
+def op6_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention_lm.score(documents(spark, sf_dir))
+
+
 def op7_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return disclosure.report(documents(spark, sf_dir))
 
@@ -66,6 +71,7 @@ QUERIES: dict[str, Query] = {
     "op3_version_sketch": op3_version_sketch,
     "op4_hilbert_shards": op4_hilbert_shards,
     "op5_tokeniser_fertility": op5_tokeniser_fertility,
+    "op6_attention_lm": op6_attention_lm,
     "op7_disclosure": op7_disclosure,
     "op8_weak_labels": op8_weak_labels,
     "op9_order_minhash": op9_order_minhash,

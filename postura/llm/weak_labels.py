@@ -35,13 +35,14 @@ from postura.llm.word_bpe import _Remembering
 
 LABELLED, TRAINED, LISTED = 20_000, 6_000, 5_000
 DIMENSIONS = 1 << 17
-#: A listed word occurs in so many toxic sample rows at least, this share of its rows being toxic.
-LEAST_ROWS, LEAST_PRECISION = 5, 0.9
+#: A listed word occurs in so many toxic sample rows at least, in this share of all of them, and this
+#: share of its rows is toxic.
+LEAST_ROWS, LEAST_SHARE, LEAST_PRECISION = 5, 0.01, 0.9
 EPOCHS, RATE, SHRINK = 12, 0.2, 1e-5
 
 FOR, AGAINST, NONE = "+", "-", "0"
 #: Lists are of whole words and of beginnings of so many letters.
-BEGINNINGS = (3, 4, 5)
+BEGINNINGS = (3, 4, 5, 6, 7)
 _WORD = re.compile(r"[^\W\d_]{3,}")
 SYMBOLS = "#*$%&|<>=^~{}[]\\"
 
@@ -110,13 +111,17 @@ def runs_of(text: str) -> set[str]:
 
 
 def posterior(
-    patterns: dict[str, int], start: dict[str, float], missing: str = "", rounds: int = 60
+    patterns: dict[str, int],
+    start: dict[str, list[float]],
+    missing: str = "",
+    known: dict[str, list[int]] | None = None,
+    rounds: int = 60,
 ) -> dict[str, float]:
     """The probability of the first class for each pattern, by expectation-maximisation.
 
-    ``start`` gives the first guess, ``missing`` the character of no vote, which says nothing.  A
-    vote's chance in each class is estimated from all documents; heuristics are taken to be
-    independent within a class.
+    ``start`` gives the first guess of all classes, ``missing`` the character of no vote, which says
+    nothing.  A vote's chance in each class is estimated from all documents; heuristics are taken to
+    be independent within a class, so what fails in several ways needs a class for each way.
     """
     names = sorted(patterns)
     if not names:
@@ -124,25 +129,39 @@ def posterior(
     n = np.array([patterns[p] for p in names], float)
     kinds = sorted({c for p in names for c in p})
     votes = np.array([[kinds.index(c) for c in p] for p in names])
-    first = np.array([start[p] for p in names])
+    there = np.array([[c != missing for c in p] for p in names])
+    share = np.array([start[p] for p in names])
+    heuristics = np.arange(votes.shape[1])
+    sure = np.array([(known or {}).get(p, [0] * share.shape[1]) for p in names], float)
     for _ in range(rounds):
-        chance = []
-        for weight in (n * first, n * (1 - first)):
-            table = np.ones((votes.shape[1], len(kinds)))
-            for k in range(votes.shape[1]):
-                table[k] += np.bincount(votes[:, k], weights=weight, minlength=len(kinds))
-            if missing in kinds:
-                table[:, kinds.index(missing)] = 0
+        chance = np.empty_like(share)
+        for k, weight in enumerate((share * n[:, None] + sure).T):
+            table = np.full((len(heuristics), len(kinds)), 0.1)
+            for h in heuristics:
+                table[h] += np.bincount(votes[:, h], weights=weight * there[:, h], minlength=len(kinds))
             table /= table.sum(axis=1, keepdims=True)
-            if missing in kinds:
-                table[:, kinds.index(missing)] = 1
-            prior = (weight.sum() + 1) / (n.sum() + 2)
-            chance.append(np.log(prior) + np.log(table[np.arange(votes.shape[1]), votes]).sum(axis=1))
-        new = 1 / (1 + np.exp(np.clip(chance[1] - chance[0], -50, 50)))
-        if np.abs(new - first).max() < 1e-6:
+            prior = (weight.sum() + 1) / (n.sum() + sure.sum() + share.shape[1])
+            chance[:, k] = np.log(prior) + (np.log(table[heuristics, votes]) * there).sum(axis=1)
+        new = np.exp(chance - chance.max(axis=1, keepdims=True))
+        new /= new.sum(axis=1, keepdims=True)
+        near = np.abs(new - share).max() < 1e-6
+        share = new
+        if near:
             break
-        first = new
-    return dict(zip(names, first.tolist(), strict=True))
+    return dict(zip(names, share[:, 0].tolist(), strict=True))
+
+
+def first_guess(pattern: str) -> list[float]:
+    """Good, or bad in the way of each heuristic that votes against."""
+    against = [c == AGAINST for c in pattern]
+    if not any(against):
+        return [0.95, *[0.05 / len(pattern)] * len(pattern)]
+    return [0.05, *[0.95 * x / sum(against) for x in against]]
+
+
+def toxic_kind(pattern: str) -> int:
+    """Toxic by whole words alone (1), or by beginnings too (2)."""
+    return 2 if pattern[1:].strip("0") else 1
 
 
 class Features:
@@ -234,7 +253,7 @@ def learn_lists(docs: DataFrame, sample: dict[int, int]) -> Lists:
             F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("bad"),
             F.sum("n").alias("n"),
         )
-        .filter((F.col("bad") >= LEAST_ROWS) & (F.col("bad") >= LEAST_PRECISION * F.col("n")))
+        .filter((F.col("bad") >= max(LEAST_ROWS, LEAST_SHARE * sum(sample.values()))) & (F.col("bad") >= LEAST_PRECISION * F.col("n")))
         .orderBy(F.desc("bad"), "kind", "term")
         .limit(LISTED)
         .collect()
@@ -242,15 +261,20 @@ def learn_lists(docs: DataFrame, sample: dict[int, int]) -> Lists:
     return Lists({(r["kind"], r["term"]) for r in found})
 
 
-def count_patterns(docs: DataFrame, lists: Lists) -> dict[tuple[str, str], int]:
-    """Documents by quality and toxicity pattern; there are 3 ** 12 patterns at most."""
-    sent = docs.sparkSession.sparkContext.broadcast(lists)
+def count_patterns(docs: DataFrame, lists: Lists, sample: dict[int, int]) -> list[tuple[str, str, int, int]]:
+    """Quality and toxicity pattern, whether known to be toxic (else -1), and how many documents have them.
+
+    There are 3 ** 14 patterns at most, few of which occur.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast((lists, sample))
 
     def tally(part: pa.RecordBatch, counts: Counter) -> None:
-        counts.update((quality_votes(t or ""), sent.value.votes(runs_of(t or ""))) for t in part["text"].to_pylist())
+        own, known = sent.value
+        for doc_id, text in zip(part["doc_id"].to_pylist(), part["text"].to_pylist(), strict=True):
+            counts[quality_votes(text or ""), own.votes(runs_of(text or "")), known.get(doc_id, -1)] += 1
 
-    counted = _counted(docs.select("text"), tally, "quality string, toxic string, n long")
-    return {(r[0], r[1]): r[2] for r in counted.groupBy("quality", "toxic").agg(F.sum("n")).collect()}
+    counted = _counted(docs.select("doc_id", "text"), tally, "quality string, toxic string, known int, n long")
+    return [tuple(r) for r in counted.groupBy("quality", "toxic", "known").agg(F.sum("n")).collect()]
 
 
 def fit(x: list[np.ndarray], y: np.ndarray, seed: int = 3) -> np.ndarray:
@@ -272,16 +296,21 @@ def fit(x: list[np.ndarray], y: np.ndarray, seed: int = 3) -> np.ndarray:
 
 def learn(docs: DataFrame, labels: DataFrame) -> Model:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    lists = learn_lists(docs, labelled_sample(labels))
-    patterns = count_patterns(docs, lists)
-    by_quality, by_toxic = Counter(), Counter()
-    for (q, t), n in patterns.items():
+    sample = labelled_sample(labels)
+    lists = learn_lists(docs, sample)
+    patterns = count_patterns(docs, lists, sample)
+    by_quality, by_toxic, known = Counter(), Counter(), {}
+    for q, t, toxic, n in patterns:
         by_quality[q] += n
-        by_toxic[t] += n
-    good = posterior(by_quality, {p: 0.05 if AGAINST in p else 0.95 for p in by_quality}, missing=NONE)
-    bad = posterior(by_toxic, {p: 0.9 if p.strip("0") else 0.02 for p in by_toxic})
+        by_toxic[t] += n * (toxic < 0)
+        if toxic >= 0:
+            known.setdefault(t, [0, 0, 0])[toxic_kind(t) if toxic else 0] += n
+    good = posterior(by_quality, {p: first_guess(p) for p in by_quality}, NONE)
+    chance = {p: (0.01, 0.3, 0.95)[min(2, sum(map(int, p)))] for p in by_toxic}
+    guess = {p: [1 - x, *(x * (toxic_kind(p) == k) for k in (1, 2))] for p, x in chance.items()}
+    bad = {p: 1 - x for p, x in posterior(by_toxic, guess, known=known).items()}
     # Of documents in hash order, a share that gives about TRAINED rows.
-    share = TRAINED / max(1, sum(patterns.values()))
+    share = TRAINED / max(1, sum(by_quality.values()))
     sent = docs.sparkSession.sparkContext.broadcast(lists)
 
     def make():
