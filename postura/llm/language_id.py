@@ -165,7 +165,7 @@ def predict(docs: DataFrame, model: Languages) -> DataFrame:
 
         return work
 
-    rows = docs.select("doc_id", "text", (held_out(F.col("doc_id")) == 0).alias("held_out"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", (held_out(F.col("doc_id")) == 0).alias("held_out"))
     return map_columns(rows, make, "doc_id long, held_out boolean, lang_pred string, score double, languages string")
 
 

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from postura.llm import (
     attention_lm,
     bpe_codec,
@@ -76,6 +77,8 @@ QUERIES: dict[str, Query] = {
     "op8_weak_labels": op8_weak_labels,
     "op9_order_minhash": op9_order_minhash,
     "op10_bpe_codec": op10_bpe_codec,
+    "pipeline": corpus_pipeline.run,
 }
 
+#: Models, sketches and codecs are beyond SQL: tests compare them with brute force and round trips.
 SQL: dict[str, str] = {}

@@ -135,7 +135,7 @@ def measure(docs: DataFrame) -> DataFrame:
 
         return work
 
-    wanted = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
+    wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang"))
     return map_columns(wanted, make, MEASURES)
 
 

@@ -345,7 +345,7 @@ def judge(docs: DataFrame, model: Model) -> DataFrame:
         m, features = sent.value, Features()
 
         def work(b: pa.RecordBatch) -> dict:
-            out: dict = {"doc_id": b["doc_id"].cast(pa.int64())}
+            out: dict = {"doc_id": b["doc_id"]}
             rows = []
             for text in b["text"].to_pylist():
                 text = text or ""
@@ -360,7 +360,7 @@ def judge(docs: DataFrame, model: Model) -> DataFrame:
         return work
 
     schema = "doc_id long, quality double, toxic double, quality_posterior double, toxic_posterior double, kept boolean"
-    return map_columns(docs.select("doc_id", "text"), make, schema)
+    return map_columns(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), make, schema)
 
 
 def keep_good(docs: DataFrame, model: Model) -> DataFrame:
