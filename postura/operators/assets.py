@@ -14,9 +14,10 @@ _KEY = ("resource", "resource_type")
 
 
 def unique_assets(assets: DataFrame) -> DataFrame:
-    """One row per resource; of contradicting rows the lowest by value, on every run."""
-    picked = F.min(F.struct(*schemas.DIMENSIONS)).alias("_owner")
-    return assets.groupBy(*_KEY).agg(picked).select(*_KEY, "_owner.*")
+    """One row per resource: the most complete; of equally complete rows the lowest by value."""
+    gaps = sum((F.col(d).isNull().cast("int") for d in schemas.DIMENSIONS), F.lit(0))
+    picked = F.min(F.struct(gaps.alias("_gaps"), *schemas.DIMENSIONS)).alias("_owner")
+    return assets.groupBy(*_KEY).agg(picked).select(*_KEY, *[f"_owner.{d}" for d in schemas.DIMENSIONS])
 
 
 def enrich_assets(df: DataFrame, assets: DataFrame | None = None) -> DataFrame:

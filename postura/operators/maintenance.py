@@ -15,24 +15,22 @@ from pyspark.sql import functions as F
 from postura import schemas
 from postura.operators.matching import expand
 from postura.operators.rollups import summarise
-from postura.operators.sizing import local_if_small
 
 
 def replace_keys(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``old`` whose keys do not occur in ``new``.
 
-    The keys of a run are few.  They are fetched as such, up to a limit, so the anti
-    join streams over the history without shuffling it; past the limit it is an
-    ordinary shuffled anti join.
+    Spark decides by the size of the keys how the anti join runs; give ``new`` as small
+    and as finished as it is at hand (a roll-up, a stored run), since it is computed for
+    its keys and again for its rows.
     """
-    replaced = local_if_small(new.select(*keys).distinct())
-    return old.join(replaced, list(keys), "left_anti")
+    return old.join(new.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def upsert_summary(old: DataFrame, run_detail: DataFrame) -> DataFrame:
     """The summary after a run: its (metric, date) pairs replaced, all others kept."""
-    kept = replace_keys(old, run_detail, schemas.SUMMARY_REPLACE_KEYS)
-    return kept.unionByName(summarise(run_detail))
+    rolled = summarise(run_detail)
+    return replace_keys(old, rolled, schemas.SUMMARY_REPLACE_KEYS).unionByName(rolled)
 
 
 def upsert_detail(old: DataFrame, run_detail: DataFrame) -> DataFrame:

@@ -47,7 +47,7 @@ def sample_dates(
             F.count(F.lit(1)).over(everything).alias("_n"),
         )
         candidates = ranked.filter((F.col("_rank") < k) | (F.col("_rank") == F.col("_n")))
-    # In the keep_latest case the limit cuts nothing; it tells the planner the size.
+        return candidates.select("datestamp").orderBy("datestamp")
     return candidates.select("datestamp").orderBy("datestamp").limit(k)
 
 
@@ -73,6 +73,8 @@ def sample_row_dates(
     first, the last and ``k - 2`` more at a fixed step from the second.  Rows are not
     sorted: counts per date give the range of positions each date covers.
     """
+    if k < 3:
+        raise ValueError("the first, the last and a date between them take k >= 3")
     inner = k - 2
     upto = Window.orderBy("datestamp").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     dates = (
@@ -89,8 +91,8 @@ def sample_row_dates(
     spaced = F.transform(F.sequence(F.lit(0), F.lit(inner - 1)), lambda i: i * step + 1)
     targets = F.concat(F.array(F.lit(0).cast("bigint"), n - 1), F.filter(spaced, lambda p: p < n - 1))
     hit = F.exists(targets, lambda p: (p >= F.col("_start")) & (p < F.col("_end")))
-    # At most k positions, so at most k dates: the limit cuts nothing, it states the size.
-    return dates.filter((n < k) | hit).select("datestamp").limit(k)
+    # At most k positions, so at most k dates.
+    return dates.filter((n < k) | hit).select("datestamp")
 
 
 def summary_sample(summary: DataFrame, as_of: DateLike, k: int = MAX_DATES) -> DataFrame:

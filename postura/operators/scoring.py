@@ -15,20 +15,16 @@ from pyspark.sql import functions as F
 from postura.functions.bands import rag_columns
 from postura.functions.dates import as_column
 from postura.functions.numbers import safe_ratio
-from postura.functions.predicates import apply_filters
-from postura.operators.pivots import dimension_label, pivot_data
+from postura.functions.predicates import match_choices, match_criteria, match_present
+from postura.operators.pivots import dimension_label
 from postura.operators.selection import latest_only
 
 Filters = Mapping[str, object] | None
 
-# Fixed value: the filter choice meaning "no filter".
-ALL = "All"
-
-
 def _weighted(summary: DataFrame, filters: Filters, axis: str) -> DataFrame:
     """SQL report rule: a metric counts once per weight, targets are plain averages."""
     per_metric = (
-        apply_filters(summary, filters, ALL)
+        match_choices(summary, filters)
         .groupBy("metric_id", axis, "weight")
         .agg(
             F.sum("totalok").alias("_ok"),
@@ -86,7 +82,7 @@ def weighted_score(
 
     A metric whose total is 0 has no score, and neither has any group it belongs to.
     """
-    rows = apply_filters(summary, filters)
+    rows = match_present(summary, filters)
     keys = ["datestamp"]
     if dimension is not None:
         rows = rows.withColumn(dimension, dimension_label(dimension))
@@ -118,13 +114,19 @@ def weighted_score(
     )
 
 
-_CARD_AGGREGATES = {
-    "sum_total": ("sum", "total"),
-    "sum_totalok": ("sum", "totalok"),
-    "weight": ("avg", "weight"),
-    "slo": ("avg", "slo"),
-    "slo_min": ("avg", "slo_min"),
-}
+def _measured(summary: DataFrame, filters: Filters, keys: list[str]) -> DataFrame:
+    """Score, weight and targets of each group; a missing number counts as 0."""
+    return (
+        match_criteria(summary, filters)
+        .fillna(0, ["total", "totalok", "weight", "slo", "slo_min"])
+        .groupBy(*keys)
+        .agg(
+            F.sum("totalok").alias("sum_totalok"),
+            F.sum("total").cast("double").alias("sum_total"),
+            *[F.avg(c).alias(c) for c in ("weight", "slo", "slo_min")],
+        )
+        .withColumn("score", safe_ratio("sum_totalok", "sum_total"))
+    )
 
 
 def metric_cards(summary: DataFrame, filters: Filters = None) -> DataFrame:
@@ -135,15 +137,10 @@ def metric_cards(summary: DataFrame, filters: Filters = None) -> DataFrame:
     """
     newest = F.max("datestamp").over(Window.partitionBy("title"))
     return (
-        pivot_data(
-            apply_filters(summary, filters),
-            ["datestamp", "category", "title", "metric_id"],
-            _CARD_AGGREGATES,
-        )
+        _measured(summary, filters, ["datestamp", "category", "title", "metric_id"])
         .withColumn("_newest", newest)
         .filter(F.col("datestamp") == F.col("_newest"))
         .drop("_newest")
-        .withColumn("score", safe_ratio("sum_totalok", "sum_total"))
     )
 
 
@@ -165,10 +162,7 @@ def weighted_targets(summary: DataFrame, filters: Filters = None, dim: str = "ca
     """Score *and* targets weighted by metric, per date and dimension."""
     keys = ["datestamp", dim]
     layer = list(dict.fromkeys(["datestamp", "metric_id", dim]))
-    per_metric = pivot_data(apply_filters(summary, filters), layer, _CARD_AGGREGATES)
-    beside = with_weight_total(per_metric, keys).withColumn(
-        "score", safe_ratio("sum_totalok", "sum_total")
-    )
+    beside = with_weight_total(_measured(summary, filters, layer), keys)
 
     def final(name: str) -> Column:
         return safe_ratio(F.sum(F.col(name) * F.col("weight")), F.max("sum_weight"))

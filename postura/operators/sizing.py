@@ -15,21 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-# Rows of replaced keys (a metric and a date each) the driver may hold: a few MB.
-MAX_LOCAL_KEYS = 100_000
-
-
 def local_table(
     spark: SparkSession, rows: Iterable[Mapping[str, Any]], schema: T.StructType
 ) -> DataFrame:
     """Driver rows as a local relation with exact statistics."""
     table = pa.Table.from_pylist(list(rows), schema=to_arrow_schema(schema))
     return spark.createDataFrame(table, schema)
-
-
-def local_if_small(df: DataFrame, max_rows: int = MAX_LOCAL_KEYS) -> DataFrame:
-    """``df`` as a local relation when it has at most ``max_rows`` rows, else unchanged."""
-    table = df.limit(max_rows + 1).toArrow()
-    if table.num_rows > max_rows:
-        return df
-    return df.sparkSession.createDataFrame(table, df.schema)

@@ -42,17 +42,27 @@ def _measured(df: DataFrame, resource: str, kind: str, ok: Column, detail: Colum
     )
 
 
+def one_per_resource(measured: DataFrame, worst: bool) -> DataFrame:
+    """A row for each resource, however many entities share its name: its worst or best state."""
+    state = (F.min if worst else F.max)("compliance").alias("compliance")
+    return measured.groupBy("resource", "resource_type").agg(state, F.min("detail").alias("detail"))
+
+
 # --- hosts against vulnerabilities -----------------------------------------------------
 
 
 def _finding_field(findings: DataFrame, name: str) -> Column:
-    """A field of the finding itself where it is delivered there, else of its ``cve``."""
-    return F.col(name if name in findings.columns else f"cve.{name}")
+    """A field of the finding itself where the row has it there, else of its ``cve``."""
+    inside = F.col(f"cve.{name}")
+    return F.coalesce(F.col(name), inside) if name in findings.columns else inside
 
 
 def _urgent(findings: DataFrame, as_of: DateLike) -> Column:
-    severity = _finding_field(findings, "severity")
-    return F.col("status").isin(*OPEN_STATES) & severity.isin(*URGENT)
+    urgent = F.col("cve.severity").isin(*URGENT)
+    if "severity" in findings.columns:  # spelt out, so that the filter reaches the files
+        own = F.col("severity")
+        urgent = own.isin(*URGENT) | (own.isNull() & urgent)
+    return F.col("status").isin(*OPEN_STATES) & urgent
 
 
 def _urgent_overdue(findings: DataFrame, as_of: DateLike) -> Column:
@@ -150,7 +160,9 @@ def development_vulnerabilities(
         per_entity=per_resource,
     )
     matched = F.col("matched")
-    return _measured(rows, "name", "snyk", ~matched if invert else matched, F.col("target_file"))
+    found = _measured(rows, "name", "snyk", ~matched if invert else matched, F.col("target_file"))
+    # One project with an issue is an issue, so it decides for all of the name.
+    return one_per_resource(found, worst=invert) if per_resource else found
 
 
 # --- users -----------------------------------------------------------------------------
@@ -186,7 +198,8 @@ def user_awareness(tables: RawTables, as_of: DateLike, per_resource: bool = Fals
         age_days("completion_date", as_of) <= TRAINING_DAYS,
         per_entity=per_resource,
     )
-    return _measured(rows, "login", "user", F.col("matched"), F.col("login"))
+    found = _measured(rows, "login", "user", F.col("matched"), F.col("login"))
+    return one_per_resource(found, worst=False) if per_resource else found
 
 
 # --- definitions -----------------------------------------------------------------------

@@ -5,15 +5,19 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from postura import schemas
 from postura.functions.dates import DateLike
-from postura.operators.maintenance import redact
+from postura.operators.maintenance import redact, replace_keys
 from postura.operators.rollups import alert_table, summarise
 from postura.operators.sampling import summary_sample, v_summary
+from postura.operators.sizing import local_table
 from postura.plans.alerts import alert_lines, alert_message
 from postura.plans.runner import MetricRun
-from postura.sources.tables import read_or_empty, replace_partitions, write_csv
+from postura.session import scratch_path
+from postura.sources.paths import delete
+from postura.sources.tables import read_or_empty, read_table, replace_partitions, write_csv
 
 
 @dataclass(frozen=True)
@@ -63,18 +67,37 @@ def write_detail(run: MetricRun, store: Store) -> None:
 
 
 def write_summary(run: MetricRun, store: Store) -> None:
-    """Each (metric, date) of the run replaces its rows; a rerun changes nothing."""
-    replace_partitions(summarise(run.rows), store.summary, schemas.SUMMARY_REPLACE_KEYS)
+    """Each (metric, date) of the run replaces its rows; a rerun changes nothing.
+
+    The table is partitioned by date, as reports read it.  Of the dates of the run, the rows
+    of other metrics are read, set beside the new ones in the shared folder, and written back;
+    other dates are neither read nor written.
+    """
+    spark = run.rows.sparkSession
+    merged = scratch_path(spark, "summary")
+    summarise(run.rows).write.parquet(f"{merged}/new")
+    new = read_table(spark, f"{merged}/new", schemas.SUMMARY)
+    dates = [r[0] for r in new.select("datestamp").distinct().collect()]  # one, as a rule
+    old = store.read_summary(spark).filter(F.col("datestamp").isin(dates))
+    replace_keys(old, new, schemas.SUMMARY_REPLACE_KEYS).unionByName(new).write.parquet(f"{merged}/all")
+    whole = read_table(spark, f"{merged}/all", schemas.SUMMARY)
+    replace_partitions(whole, store.summary, schemas.SUMMARY_PARTITIONS)
+    delete(spark, merged)
 
 
 def publish(run: MetricRun, store: Store, as_of: DateLike) -> DataFrame:
     """Publish a run and return its alert message.
 
-    The run is read several times: pass one that is on storage, from ``run_metrics``.
+    The run is read several times: pass one that is on storage, from ``run_metrics``.  Its
+    staging folder, with the resources as they were, is removed at the end.
     """
     spark = run.rows.sparkSession
     write_detail(run, store)
     write_summary(run, store)
     write_csv(redact(store.read_detail(spark)), store.detail_csv)
     write_csv(summary_sample(store.read_summary(spark), as_of), store.summary_csv)
-    return alert_message(alert_lines(alert_table(run.rows)))
+    message = alert_message(alert_lines(alert_table(run.rows)))
+    found = local_table(spark, [r.asDict() for r in message.collect()], message.schema)  # a row a date
+    if run.staging is not None:
+        delete(spark, run.staging)
+    return found

@@ -32,6 +32,8 @@ _REF = re.compile(r"""\{\{\s*ref\(\s*['"]([^'"]+)['"]\s*\)\s*\}\}""")
 
 # Metrics written at the same time; each is a distributed job of its own.
 CONCURRENT_METRICS = 4
+# The partition of a measuring job in the staging folder.
+JOB = "job"
 # Detail rows a task writes.
 ROWS_PER_TASK = 5_000_000
 # The detail schema, and how many rows a row stands for.
@@ -60,6 +62,7 @@ class MetricRun:
 
     rows: DataFrame
     report: list[Outcome] = field(default_factory=list)
+    staging: str | None = None
 
     @property
     def detail(self) -> DataFrame:
@@ -159,11 +162,15 @@ def _failed(definition: MetricDefinition, error: Exception) -> Outcome:
 
 
 def _groups(definitions: Iterable[MetricDefinition]) -> list[list[MetricDefinition]]:
-    """Definitions to measure together: by family where complete, else one by one."""
+    """Definitions to measure together: by family where complete, else one by one.
+
+    A family tells its metrics apart by id, so a second one with an id is measured alone.
+    """
     groups: dict[str, list[MetricDefinition]] = {}
     for i, d in enumerate(definitions):
         together = d.family in FAMILIES and not d.missing_metadata()
-        groups.setdefault(d.family if together else f"#{i}", []).append(d)
+        taken = {x.metric_id for x in groups.get(d.family, ())} if together else ()
+        groups.setdefault(d.family if together and d.metric_id not in taken else f"#{i}", []).append(d)
     return list(groups.values())
 
 
@@ -211,32 +218,40 @@ def run_metrics(
     """Measure and write the rows to ``staging``, each metric in a job of its own.
 
     So a metric failing at run time takes no other with it, and the run is computed once
-    however often it is read afterwards.  ``staging`` is a path of this run alone.
+    however often it is read afterwards.  Each job has a partition of its own, so definitions
+    that share an id add up, as they do in a report.  Owners are looked up once, for the rows
+    of all metrics together.  ``staging`` is a path of this run alone.
     """
     report: list[Outcome] = []
     planned = [p for g in _groups(definitions) for p in _plan(g, tables, as_of, report)]
+    bare = [c for c in COMPACT.fieldNames() if c not in schemas.DIMENSIONS]
+    measured = f"{staging}/measured"
 
-    def write(item) -> list[Outcome]:
-        group, df = item
-        rows = enrich_assets(df, assets).select(*COMPACT.fieldNames())
+    def write(item) -> list[tuple[str, Outcome]]:
+        key, (group, df) = item
         try:
-            replace_partitions(rows, staging, ["metric_id"])
+            replace_partitions(df.select(*bare).withColumn(JOB, F.lit(key)), measured, [JOB])
         except Exception as e:  # noqa: BLE001
             if len(group) == 1:
-                return [_failed(group[0], e)]
-            singles: list[Outcome] = []
-            for d in group:
+                return [(key, _failed(group[0], e))]
+            found: list[tuple[str, Outcome]] = []
+            for k, d in enumerate(group):
+                singles: list[Outcome] = []
                 for single in _plan([d], tables, as_of, singles):
-                    singles += write(single)
-            return singles
-        return [Outcome(d.name, "measured") for d in group]
+                    found += write((f"{key}-{k}", single))
+                found += [(key, o) for o in singles]
+            return found
+        return [(key, Outcome(d.name, "measured")) for d in group]
 
     with ThreadPoolExecutor(CONCURRENT_METRICS) as pool:
-        written = [o for outcomes in pool.map(write, planned) for o in outcomes]
-    rows = read_or_empty(tables.spark, staging, COMPACT)
-    counts = dict(rows.groupBy("metric_id").agg(F.sum(COPIES)).collect())
-    for o in written:
-        n = counts.get(o.metric_id, 0)
+        jobs = [(f"job-{k}", p) for k, p in enumerate(planned)]
+        written = [o for outcomes in pool.map(write, jobs) for o in outcomes]
+    staged = T.StructType([*(COMPACT[c] for c in bare), T.StructField(JOB, T.StringType())])
+    rows = read_or_empty(tables.spark, measured, staged)
+    counts = {(j, m): n for j, m, n in rows.groupBy(JOB, "metric_id").agg(F.sum(COPIES)).collect()}
+    for job, o in written:
+        n = counts.get((job, o.metric_id), 0)
         found = replace(o, status=o.status if n else "empty", rows=n)
         report.append(o if o.status == "failed" else found)
-    return MetricRun(rows, report)
+    enrich_assets(rows, assets).select(*COMPACT.fieldNames()).write.parquet(f"{staging}/rows")
+    return MetricRun(read_or_empty(tables.spark, f"{staging}/rows", COMPACT), report, staging)

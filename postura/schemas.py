@@ -20,6 +20,8 @@ SUMMARY_KEYS = (
 
 # What one run replaces in the summary, and what it replaces in the detail.
 SUMMARY_REPLACE_KEYS = ("metric_id", "datestamp")
+# How the stored summary is laid out: reports choose dates.
+SUMMARY_PARTITIONS = ("datestamp",)
 DETAIL_REPLACE_KEYS = ("metric_id",)
 
 DIMENSIONS = ("business_unit", "team", "location")
@@ -78,10 +80,30 @@ def _raw(*fields: T.StructField) -> T.StructType:
 
 # The field names the identity source delivers in a profile.
 PROFILE_FIELDS = (
-    "login first_name last_name nick_name display_name email secondEmail profile_url "
-    "preferred_language user_type organization title division department cost_center "
-    "employee_number mobile_phone primary_phone street_address city state zip_code country_code"
-).split()
+    "login",
+    "first_name",
+    "last_name",
+    "nick_name",
+    "display_name",
+    "email",
+    "secondEmail",
+    "profile_url",
+    "preferred_language",
+    "user_type",
+    "organization",
+    "title",
+    "division",
+    "department",
+    "cost_center",
+    "employee_number",
+    "mobile_phone",
+    "primary_phone",
+    "street_address",
+    "city",
+    "state",
+    "zip_code",
+    "country_code",
+)
 
 # Raw tags whose record shape is known.  Tags missing here are passed through
 # as delivered: the reader infers their schema, or takes one from the caller.
@@ -89,6 +111,8 @@ RAW = {
     "crowdstrike_hosts": _raw(*_strings("device_id", "hostname")),
     "crowdstrike_vulnerabilities": _raw(
         *_strings("aid", "status", "created_timestamp", "updated_timestamp", "last_seen"),
+        # Some deliveries name these beside ``cve`` instead of inside it.
+        *_strings("severity", "published_date"),
         _struct(
             "cve",
             *_strings("id", "severity", "published_date", "remediation_level"),

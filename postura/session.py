@@ -32,6 +32,8 @@ def shared_root(spark: SparkSession) -> str:
     Only where the setting is absent (tests, notebooks) is a temporary folder made.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="postura-")
         spark.conf.set("spark.checkpoint.dir", root)

@@ -52,11 +52,19 @@ def expand_template(
     return _VARIABLE.sub(value, template or "")
 
 
-def date_parts(ts: Column | str = "_upload_timestamp") -> dict[str, Column]:
-    """The path variables that depend on time, as partition columns."""
-    c = F.col(ts) if isinstance(ts, str) else ts
-    return {
-        "year": F.date_format(c, "yyyy"),
-        "month": F.date_format(c, "MM"),
-        "day": F.date_format(c, "dd"),
-    }
+# The partition column that stands for each path variable.
+_PARTS = {"YYYY": "year", "MM": "month", "DD": "day", "hh": "hour", "mm": "minute", "ss": "second"}
+
+
+def template_columns(template: str, tag: str, ts: str = "_upload_timestamp") -> dict[str, Column]:
+    """The variables of a path template as partition columns, in its order."""
+    patterns = {"YYYY": "yyyy", "MM": "MM", "DD": "dd", "hh": "HH", "mm": "mm", "ss": "ss"}
+    columns: dict[str, Column] = {}
+    for name in _VARIABLE.findall(template):
+        if name == "TAG":
+            columns["tag"] = F.lit(tag)
+        elif name == "TENANCY":
+            columns["tenancy"] = F.col("_tenancy")
+        elif name != "UUID":
+            columns[_PARTS[name]] = F.date_format(ts, patterns[name])
+    return columns

@@ -8,6 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+# Suffixes that compression adds to a data file's name.
+COMPRESSED = ("gz", "snappy", "zst", "zstd", "lz4", "bz2", "deflate", "c000")
+
 
 def has_files(spark: SparkSession, location: str) -> bool:
     """Whether any data file lies at or below ``location`` (which may be a glob).
@@ -26,3 +29,25 @@ def has_files(spark: SparkSession, location: str) -> bool:
             if not name.startswith(("_", ".")):
                 return True
     return False
+
+
+def data_suffixes(spark: SparkSession, location: str) -> set[str]:
+    """The last name suffixes of the data files at or below ``location``, without compression's."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(location)
+    fs = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    found = set()
+    for status in fs.globStatus(path) or []:
+        files = fs.listFiles(status.getPath(), True)
+        while files.hasNext():
+            name = files.next().getPath().getName()
+            if not name.startswith(("_", ".")):
+                parts = [p for p in name.lower().split(".")[1:] if p not in COMPRESSED]
+                found.add(parts[-1] if parts else "")
+    return found
+
+
+def delete(spark: SparkSession, location: str) -> None:
+    """Remove ``location`` and what lies below it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

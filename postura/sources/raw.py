@@ -4,20 +4,39 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from copy import copy
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postura import schemas
-from postura.sources.lineage import date_parts
-from postura.sources.paths import has_files
+from postura.sources.lineage import template_columns
+from postura.sources.paths import data_suffixes, has_files
+
+
+# What deliveries and ``land`` write unless told otherwise.
+DEFAULT_FORMAT = "json"
+FORMATS = ("json", "parquet")
 
 
 class MissingTable(LookupError):
     """A referenced raw table has no data file."""
 
 
+class ForeignFormat(ValueError):
+    """A raw table's files are of several formats, or of one that cannot be read."""
+
+
+def table_format(spark: SparkSession, path: str) -> str:
+    """The format of a raw table, as its files' names say."""
+    found = data_suffixes(spark, path)
+    if len(found) != 1 or not found <= set(FORMATS):
+        raise ForeignFormat(f"expected {' or '.join(FORMATS)} at {path}, found {sorted(found)}")
+    return found.pop()
+
+
 def table_path(root: str, tag: str) -> str:
     return f"{root.rstrip('/')}/{tag}"
 
@@ -27,20 +46,26 @@ def ref(
     root: str,
     tag: str,
     schema: T.StructType | None = None,
-    fmt: str = "json",
+    fmt: str | None = None,
 ) -> DataFrame:
     """All tenancies of one raw table.
 
     The folder may hold delivered files (``{tag}/{tenancy}.json``, each one JSON
     array) or landed ones (``{tag}/_tenancy=.../``).  A known tag is read with its
     declared schema, which saves the inference pass and lets nested fields be
-    pruned; an unknown tag is read as it comes.
+    pruned; an unknown tag is read as it comes.  The format is that of the files found;
+    a record that is not of it fails the read.
     """
     path = table_path(root, tag)
     if not has_files(spark, path):
         raise MissingTable(f"no data for table {tag!r} at {path}")
     schema = schema or schemas.RAW.get(tag)
-    reader = spark.read.format(fmt)
+    found = table_format(spark, path)
+    if fmt not in (None, found):
+        raise ForeignFormat(f"expected {fmt} at {path}, found {found}")
+    reader = spark.read.format(found)
+    if found == "json":
+        reader = reader.option("mode", "FAILFAST")
     return (reader.schema(schema) if schema else reader).load(path)
 
 
@@ -63,7 +88,7 @@ class RawTables:
         root: str | None = None,
         tables: Mapping[str, DataFrame] | None = None,
         table_schemas: Mapping[str, T.StructType] | None = None,
-        fmt: str = "json",
+        fmt: str | None = None,
         backup: str | None = None,
     ) -> None:
         self.spark = spark
@@ -90,26 +115,40 @@ class RawTables:
         raise MissingTable(f"no data for table {tag!r} under {' or '.join(self.roots) or 'any root'}")
 
 
-def land(df: DataFrame, root: str, tag: str, fmt: str = "parquet") -> None:
+def land(
+    df: DataFrame, root: str, tag: str, fmt: str = DEFAULT_FORMAT, backup: str | None = None
+) -> None:
     """Replace the snapshot of each tenancy in ``df``; leave the other tenancies alone.
 
+    ``backup`` is a second root that gets the same, for when the first is lost.
+
     Needs the lineage columns.  Dynamic overwrite touches only tenancies that have
     rows, so an empty delivery keeps the earlier snapshot without a count first.
     The rebalance evens out file sizes when one tenancy holds most of the rows.
     """
-    (
-        df.hint("rebalance", "_tenancy")
-        .write.mode("overwrite")
-        .format(fmt)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("_tenancy")
-        .save(table_path(root, tag))
-    )
+    for place in (root, backup):
+        if place is not None:
+            (
+                df.hint("rebalance", "_tenancy")
+                .write.mode("overwrite")
+                .format(fmt)
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("_tenancy")
+                .save(table_path(place, tag))
+            )
+
 
+HISTORY_TEMPLATE = "%TAG/%TENANCY/%YYYY/%MM/%DD/%UUID"
 
-def append_history(df: DataFrame, root: str, tag: str, fmt: str = "parquet") -> None:
-    """Keep a dated copy under ``tag=/tenancy=/year=/month=/day=``; part names are unique."""
-    layout = {"tag": F.lit(tag), "tenancy": F.col("_tenancy"), **date_parts()}
+
+def append_history(
+    df: DataFrame, root: str, tag: str, fmt: str = "parquet", template: str = HISTORY_TEMPLATE
+) -> None:
+    """Keep a dated copy, a partition for each variable of ``template`` in its order.
+
+    Part names are unique, so ``%UUID`` needs no folder of its own.
+    """
+    layout = template_columns(template, tag)
     (
         df.withColumns(layout)
         .hint("rebalance", *layout)
@@ -129,7 +168,8 @@ def latest_snapshot(
 
     The newest time per key is a map-side combined aggregate; only that small
     result meets the rows again.  A window over the key would sort every row and
-    put a whole hot key into one task.
+    put a whole hot key into one task.  A missing key is a key like any other.
     """
-    newest = df.groupBy(*keys).agg(F.max(uploaded_at).alias(uploaded_at))
-    return df.join(newest, [*keys, uploaded_at], "left_semi")
+    newest = df.groupBy(*keys).agg(F.max(uploaded_at).alias(uploaded_at)).alias("newest")
+    same = [F.col(f"rows.{c}").eqNullSafe(F.col(f"newest.{c}")) for c in (*keys, uploaded_at)]
+    return df.alias("rows").join(newest, reduce(and_, same), "left_semi")

@@ -1,16 +1,20 @@
 """Publishing as files arrive.
 
-The source is a stream of detail rows or of raw records, the sink a log of summary rows:
-each batch writes its sums under its batch id.  That is one partition per batch however many metric-days it
-touches, nothing written before is read or rewritten, no state store is kept, and a batch
-replayed after a failure overwrites itself.  What a metric-day's newest state is, is
-decided on reading; the summary is small beside the rows it sums up.
+Raw records are landed by tenancy, then the metrics are measured on all that has landed and the
+maintained summary takes the result: a batch run, for whatever has arrived.  A replayed or repeated
+delivery lands as it did before and changes nothing.
+
+A stream of detail rows has as its sink a log of summary rows: each batch writes its sums under its
+batch id.  That is one partition per batch however many metric-days it touches, nothing written
+before is read or rewritten, no state store is kept, and a batch replayed after a failure overwrites
+itself.  What a metric-day's newest state is, is decided on reading; the summary is small beside the
+rows it sums up.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,9 +23,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from postura import schemas
 from postura.operators.rollups import summarise
+from postura.operators.sizing import local_table
+from postura.plans.publish import Store, write_summary
 from postura.plans.runner import plan_metrics
 from postura.sources.library import MetricDefinition
-from postura.sources.raw import RawTables, latest_snapshot
+from postura.sources.paths import has_files
+from postura.sources.raw import RawTables, land, latest_snapshot, ref, table_path
 from postura.sources.tables import replace_partitions
 
 BATCH = "batch_id"
@@ -46,11 +53,9 @@ def stream_rows(
     return reader.load(path)
 
 
-def _into_log(
-    arriving: DataFrame, measured: Callable[[DataFrame], DataFrame], log_path: str, checkpoint: str
-) -> StreamingQuery:
+def _into_log(arriving: DataFrame, log_path: str, checkpoint: str) -> StreamingQuery:
     def write(batch: DataFrame, batch_id: int) -> None:
-        rolled = summarise(measured(batch)).withColumn(BATCH, F.lit(batch_id).cast("bigint"))
+        rolled = summarise(batch).withColumn(BATCH, F.lit(batch_id).cast("bigint"))
         replace_partitions(rolled, log_path, [BATCH])
 
     return (
@@ -66,7 +71,7 @@ def stream_publish(rows: DataFrame, log_path: str, checkpoint: str) -> Streaming
 
     The batch ids come from ``checkpoint``; it has to be kept as long as the log.
     """
-    return _into_log(rows, lambda batch: batch, log_path, checkpoint)
+    return _into_log(rows, log_path, checkpoint)
 
 
 def stream_metrics(
@@ -75,19 +80,38 @@ def stream_metrics(
     definitions: Sequence[MetricDefinition],
     tables: RawTables,
     as_of: dt.date,
-    log_path: str,
+    root: str,
+    store: Store,
     checkpoint: str,
     assets: DataFrame | None = None,
 ) -> StreamingQuery:
-    """The same for arriving raw records: each delivery of ``tag`` is measured as it comes.
+    """Land arriving raw records of ``tag`` below ``root`` and bring the summary up to date.
 
-    ``tables`` holds the other raw tables the metrics refer to.
+    Records need their lineage.  Of several uploads of a tenancy the newest stands, in a batch
+    and between batches.  ``tables`` holds the other raw tables the metrics refer to.
     """
+    spark = arriving.sparkSession
+    place = table_path(root, tag)
+
+    def update(batch: DataFrame, batch_id: int) -> None:
+        delivered = latest_snapshot(batch, ["_tenancy"])
+        if has_files(spark, place):
+            landed = ref(spark, root, tag).groupBy("_tenancy").agg(F.max("_upload_timestamp").alias("_at"))
+            at = [r.asDict() for r in landed.collect()]  # a row a tenancy
+            known = local_table(spark, at, landed.schema)
+            newer = F.col("_at").isNull() | (F.col("_upload_timestamp") >= F.col("_at"))
+            delivered = delivered.join(known, "_tenancy", "left").filter(newer).drop("_at")
+        land(delivered, root, tag)
+        if has_files(spark, place):
+            current = tables.with_table(tag, ref(spark, root, tag))
+            write_summary(plan_metrics(definitions, current, as_of, assets), store)
 
-    def measured(batch: DataFrame) -> DataFrame:
-        return plan_metrics(definitions, tables.with_table(tag, batch), as_of, assets).rows
-
-    return _into_log(arriving, measured, log_path, checkpoint)
+    return (
+        arriving.writeStream.option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .foreachBatch(update)
+        .start()
+    )
 
 
 def replaced_summary(spark: SparkSession, log_path: str) -> DataFrame:

@@ -15,11 +15,10 @@ from pyspark.sql import types as T
 
 from postura import schemas
 from postura.operators.rollups import summarise
-from postura.operators.selection import last_year
 from postura.operators.sizing import local_table
 from postura.session import scratch_path
 from postura.sources.raw import RawTables
-from postura.sources.tables import read_table
+from postura.sources.tables import read_table, replace_partitions
 
 AS_OF = dt.date(2001, 8, 2)
 YEAR_END = dt.date(2001, 11, 4)
@@ -44,6 +43,8 @@ def _case(column: str, values: dict[str, str], default: str | None = None) -> Co
 
 # Schemas of the given tables, by path: footers are read once per process.
 _SCHEMAS: dict[str, T.StructType] = {}
+# Stored summaries, by application and data set.
+_STORED: dict[tuple[str, str], DataFrame] = {}
 
 
 class Fixtures:
@@ -225,15 +226,17 @@ class Fixtures:
         return summarise(self.detail)
 
     @cached_property
-    def stored_year(self) -> DataFrame:
-        """The summary's last year as reports find it: a table on storage.
+    def stored_summary(self) -> DataFrame:
+        """The whole summary as reports find it: a table on storage, partitioned by date.
 
-        The samplers look at it twice and some reports more often; stored, the joins below
-        it run once, and only for that year's rows.
+        It is written, and its files listed, once for a session and data set.
         """
-        path = scratch_path(self.spark, "summary")
-        last_year(self.summary, YEAR_END).write.parquet(path)
-        return read_table(self.spark, path, schemas.SUMMARY)
+        key = (self.spark.sparkContext.applicationId, self.sf_dir)
+        if key not in _STORED:
+            path = scratch_path(self.spark, "summary")
+            replace_partitions(self.summary, path, schemas.SUMMARY_PARTITIONS)
+            _STORED[key] = read_table(self.spark, path, schemas.SUMMARY)
+        return _STORED[key]
 
     # --- table maintenance -------------------------------------------------------------
 
@@ -250,9 +253,7 @@ class Fixtures:
 
     @cached_property
     def old_detail(self) -> DataFrame:
-        return self.detail.filter(
-            F.col("datestamp").between(F.lit(dt.date(2001, 6, 1)), F.lit(dt.date(2001, 6, 30)))
-        )
+        return self.detail
 
     # --- nulls, blanks, snapshots, pages -----------------------------------------------
 
@@ -273,7 +274,7 @@ class Fixtures:
     def uploads(self) -> DataFrame:
         return self.table("events").select(
             F.col("event_type").alias("tag"),
-            F.concat(F.lit("t"), F.col("user_id") % 3).alias("tenancy"),
+            F.when(F.col("user_id") % 4 != 3, F.concat(F.lit("t"), F.col("user_id") % 4)).alias("tenancy"),
             F.col("ts").cast("date").alias("upload_date"),
             "event_id",
             "value",

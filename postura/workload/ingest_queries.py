@@ -61,7 +61,7 @@ def land_roundtrip(f: Fixtures):
     again = delivered.filter(F.col("_tenancy") == "t1").withColumn("status", F.upper("status"))
     raw.land(again, root, tag)
     raw.land(delivered.filter(F.col("status") == "no such status"), root, tag)
-    landed = raw.ref(f.spark, root, tag, fmt="parquet")
+    landed = raw.ref(f.spark, root, tag)
     return landed.select("aid", "status", F.col("_tenancy").alias("tenancy"))
 
 
@@ -101,7 +101,7 @@ def history_partitions(f: Fixtures):
 @query(
     "latest_snapshot",
     """select * from f_uploads u where upload_date =
-         (select max(upload_date) from f_uploads m where m.tag = u.tag and m.tenancy = u.tenancy)""",
+         (select max(upload_date) from f_uploads m where m.tag = u.tag and m.tenancy is not distinct from u.tenancy)""",
 )
 def latest_snapshot(f: Fixtures):
     newest = raw.latest_snapshot(f.uploads, ["tag", "tenancy"], "upload_date")

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from postura import schemas
 from postura.functions.dates import age_days, date_minus, older_than, to_date_lenient
 from postura.functions.numbers import lenient_number, safe_ratio
 from postura.functions.predicates import compliance, holds
@@ -11,14 +15,21 @@ from postura.operators.assets import enrich_assets
 from postura.operators.maintenance import union_metrics
 from postura.operators.matching import entity_vs_findings, expand
 from postura.operators.rollups import metric_scores
+from postura.operators.sizing import local_table
 from postura.plans import catalogue
 from postura.plans.catalogue import shipped_metrics
 from postura.plans.publish import Store, publish
 from postura.plans.runner import metric_sql, plan_metrics, run_metrics, stamp_metadata
 from postura.session import scratch_path
+from postura.sources import raw
+from postura.sources.library import MetricDefinition
+from postura.sources.lineage import with_lineage
+from postura.sources.tables import read_csv_strings, read_summary_csv
 from postura.workload.fixtures import AS_OF, Fixtures
 from postura.workload.registry import query
 
+UPLOADED = "2001-08-02 03:04:05"
+
 
 @query("nested_project", "select cast(project_id as string) as project_id, status, severity from f_issues")
 def nested_project(f: Fixtures):
@@ -180,6 +191,16 @@ def critical_per_resource(f: Fixtures):
     return catalogue.vulnerabilities_critical(f.raw, AS_OF, per_resource=True)
 
 
+@query(
+    "metric_development_vulnerabilities_per_resource",
+    """select resource, resource_type, max(compliance) as compliance, min(detail) as detail
+       from m_development_vulnerabilities group by resource, resource_type""",
+)
+def development_per_resource(f: Fixtures):
+    """Each project name once, however many projects share it."""
+    return catalogue.development_vulnerabilities(f.raw, AS_OF, per_resource=True)
+
+
 @query(
     "metric_user_awareness_per_resource",
     """select resource, resource_type, max(compliance) as compliance, detail
@@ -227,15 +248,96 @@ def metric_run_summary(f: Fixtures):
     return metric_scores(plan_metrics(shipped_metrics(), f.raw, AS_OF, f.assets).rows)
 
 
+@query("landed_metrics", "select * from m_detail where metric_id like 'vulnerabilities%'")
+def landed_metrics(f: Fixtures):
+    """Landed and read with defaults; findings name their severity beside ``cve`` or inside it."""
+    root = scratch_path(f.spark, "landed")
+    beside = F.crc32(F.col("aid").cast("binary")) % 2 == 0
+    cve = F.col("cve")
+    outside = {c: F.when(beside, cve[c]) for c in ("severity", "published_date")}
+    inside = cve
+    for c in outside:
+        inside = inside.withField(c, F.when(~beside, cve[c]))
+    raw.land(with_lineage(f.hosts, "acme", UPLOADED), root, "crowdstrike_hosts")
+    findings = f.vulns.withColumns({**outside, "cve": inside})
+    raw.land(with_lineage(findings, "acme", UPLOADED), root, "crowdstrike_vulnerabilities")
+    metrics = [d for d in shipped_metrics() if d.family]
+    return plan_metrics(metrics, raw.RawTables(f.spark, root), AS_OF, f.assets).detail
+
+
+BROKEN = [
+    ("missing_table", "select 1 from {{ ref('nowhere') }}"),
+    ("fails", "select raise_error('broken') as resource, '' as resource_type, 1 as compliance, '' as detail "
+              "from {{ ref('crowdstrike_hosts') }}"),
+    ("nobody", "select hostname as resource, 'host' as resource_type, 1 as compliance, '' as detail "
+               "from {{ ref('crowdstrike_hosts') }} where hostname = ''"),
+    ("twice", "select hostname as resource, 'host' as resource_type, 1 as compliance, '' as detail "
+              "from {{ ref('crowdstrike_hosts') }}"),
+    ("twice", "select hostname as resource, 'host' as resource_type, 0 as compliance, '' as detail "
+              "from {{ ref('crowdstrike_hosts') }} where device_id % 2 = 0"),
+]
+
+
+@query(
+    "metric_run_report",
+    """select 'vulnerabilities_critical' as metric_id, 'measured' as status, count(*) as rows
+       from m_vulnerabilities_critical
+       union all select 'missing_table', 'failed', null union all select 'fails', 'failed', null
+       union all select 'nobody', 'empty', 0
+       union all select 'twice', 'measured', count(*) from f_hosts
+       union all select 'twice', 'measured', count(*) from f_hosts where cast(device_id as bigint) % 2 = 0""",
+)
+def metric_run_report(f: Fixtures):
+    """A run with a missing table, a failing metric, an empty one, and an id used twice."""
+    library = ("Title", "Category", 0.9, 0.8, 0.5)
+    metrics = [MetricDefinition(m, *library, query=q) for m, q in BROKEN]
+    run = run_metrics([*shipped_metrics("vulnerabilities_critical"), *metrics], f.raw, AS_OF, scratch_path(f.spark, "staging"))
+    found = [{"metric_id": o.metric_id, "status": o.status, "rows": o.rows if o.status != "failed" else None} for o in run.report]
+    return local_table(f.spark, found, T.StructType.fromDDL("metric_id string, status string, rows long"))
+
+
+_PUBLISHED: dict[tuple[str, str], Store] = {}
+
+
+def _published(f: Fixtures) -> Store:
+    """A store after runs of two days, the second repeated; made once for a session and data set."""
+    key = (f.spark.sparkContext.applicationId, f.sf_dir)
+    if key not in _PUBLISHED:
+        store = Store(scratch_path(f.spark, "publish"))
+        for day in (AS_OF - dt.timedelta(days=1), AS_OF, AS_OF):
+            staging = scratch_path(f.spark, "staging")
+            publish(run_metrics(shipped_metrics(), f.raw, day, staging, f.assets), store, day)
+        _PUBLISHED[key] = store
+    return _PUBLISHED[key]
+
+
 @query("publish_run", "select * from m_summary")
 def publish_run(f: Fixtures):
-    """A whole run: measured, staged, both tables replaced, both copies published; twice."""
-    store = Store(scratch_path(f.spark, "publish"))
-    for _ in range(2):
-        staging = scratch_path(f.spark, "staging")
-        run = run_metrics(shipped_metrics(), f.raw, AS_OF, staging, f.assets)
-        publish(run, store, AS_OF)
-    return store.read_summary(f.spark)
+    """Whole runs: measured, staged, both tables replaced, both copies published."""
+    return _published(f).read_summary(f.spark).filter(F.col("datestamp") == F.lit(AS_OF))
+
+
+@query("publish_detail", "select * from m_detail")
+def publish_detail(f: Fixtures):
+    """The detail holds the newest run alone."""
+    return _published(f).read_detail(f.spark)
+
+
+@query(
+    "publish_detail_csv",
+    """select cast(datestamp as string) as datestamp, metric_id, 'redacted' as resource, 'redacted' as detail,
+         count(*) as n from m_detail group by all""",
+)
+def publish_detail_csv(f: Fixtures):
+    """The published copy is redacted."""
+    rows = read_csv_strings(f.spark, _published(f).detail_csv, schemas.DETAIL.fieldNames())
+    return rows.groupBy("datestamp", "metric_id", "resource", "detail").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("publish_summary_csv", "select * from m_summary")
+def publish_summary_csv(f: Fixtures):
+    """The published summary; the sampled dates include the newest."""
+    return read_summary_csv(f.spark, _published(f).summary_csv).filter(F.col("datestamp") == F.lit(AS_OF))
 
 
 @query(

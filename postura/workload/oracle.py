@@ -69,8 +69,7 @@ BLOCKS: dict[str, str] = {
         select * from f_detail where datestamp between date '2001-07-01' and date '2001-07-31'
         and metric_id in ('economy','large','small')""",
     "f_old_summary": "select * replace (total + 1 as total) from f_summary",
-    "f_old_detail": """
-        select * from f_detail where datestamp between date '2001-06-01' and date '2001-06-30'""",
+    "f_old_detail": "select * from f_detail",
     "f_nulls": """
         select event_id, event_type,
           case when user_id % 7 = 0 then null when user_id % 7 = 1 then ''
@@ -78,7 +77,7 @@ BLOCKS: dict[str, str] = {
           case when event_id % 5 = 0 then null else value end as measure
         from events""",
     "f_uploads": """
-        select event_type as tag, concat('t', cast(user_id % 3 as string)) as tenancy,
+        select event_type as tag, case when user_id % 4 <> 3 then concat('t', cast(user_id % 4 as string)) end as tenancy,
           cast(ts as date) as upload_date, event_id, value
         from events""",
     # --- shipped metrics -----------------------------------------------------------------

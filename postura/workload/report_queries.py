@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from postura import schemas
 from postura.functions.bands import rag_columns, rag_label
 from postura.functions.numbers import percent, safe_ratio
-from postura.functions.predicates import apply_filters
+from postura.functions.predicates import match_choices, match_criteria, match_present
 from postura.operators import maintenance, pivots, rollups, sampling, scoring, selection
 from postura.plans import alerts, reports
 from postura.plans.catalogue import shipped_metrics
+from postura.plans.publish import Store
 from postura.session import scratch_path
+from postura.sources.lineage import with_lineage
 from postura.streaming import publish as streaming
 from postura.workload.fixtures import AS_OF, YEAR_END, Fixtures
 from postura.workload.registry import query
@@ -26,7 +28,7 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def _sampled(f: Fixtures) -> DataFrame:
-    return sampling.v_summary(f.stored_year, YEAR_END)
+    return sampling.v_summary(f.stored_summary, YEAR_END)
 
 
 # --- filters ---------------------------------------------------------------------------
@@ -34,7 +36,21 @@ def _sampled(f: Fixtures) -> DataFrame:
 
 @query("filter_criteria", "select * from f_summary where business_unit = 'ASIA'")
 def filter_criteria(f: Fixtures):
-    return apply_filters(f.summary, {"business_unit": "ASIA", "team": "", "location": None})
+    """A chart's rule: nothing chosen, be it 0 or False, is no filter."""
+    unset = {"team": "", "location": None, "slo": 0.0, "weight": False}
+    return match_criteria(f.summary, {"business_unit": "ASIA", **unset})
+
+
+@query("filter_present", "select * from f_summary where totalok = 0")
+def filter_present(f: Fixtures):
+    """A weighted score's rule: 0 is a filter."""
+    return match_present(f.summary, {"totalok": 0.0, "team": "", "location": None})
+
+
+@query("filter_blank_choice", "select event_id, dim from f_nulls where dim = ''")
+def filter_blank(f: Fixtures):
+    """A report's rule: a blank choice matches blanks."""
+    return match_choices(f.nulls, {"dim": "", "event_type": "All"}).select("event_id", "dim")
 
 
 @query(
@@ -43,7 +59,7 @@ def filter_criteria(f: Fixtures):
 )
 def filter_all(f: Fixtures):
     chosen = {"category": "All", "metric_id": "economy", "business_unit": "EUROPE"}
-    return apply_filters(f.summary, chosen, all_value=scoring.ALL)
+    return match_choices(f.summary, chosen)
 
 
 @query(
@@ -259,7 +275,7 @@ def v_summary(f: Fixtures):
          where r < 12 or r = n) d using (datestamp)""",
 )
 def v_summary_keep_latest(f: Fixtures):
-    return sampling.v_summary(f.stored_year, YEAR_END, keep_latest=True)
+    return sampling.v_summary(f.stored_summary, YEAR_END, keep_latest=True)
 
 
 @query(
@@ -272,7 +288,7 @@ def v_summary_keep_latest(f: Fixtures):
            or (p >= 1 and p < n - 1 and (p - 1) % ((n - 2) // 10) = 0 and (p - 1) // ((n - 2) // 10) < 10))""",
 )
 def summary_csv_sample(f: Fixtures):
-    sample = sampling.summary_sample(f.stored_year, YEAR_END)
+    sample = sampling.summary_sample(f.stored_summary, YEAR_END)
     return sample.select(*schemas.SUMMARY.fieldNames())
 
 
@@ -553,19 +569,41 @@ def stream_sum(f: Fixtures):
     return streaming.accumulated_summary(f.spark, stream.log)
 
 
-@query(
-    "stream_metric_run",
-    "select * from m_summary where metric_id in ('identity_dormant', 'user_awareness')",
-)
-def stream_metric_run(f: Fixtures):
-    """User records arrive in two deliveries; each is measured, the second stands."""
-    metrics = [d for d in shipped_metrics() if d.metric_id in ("identity_dormant", "user_awareness")]
-    stream = _Stream(f)
-    for users in (f.users.withColumn("last_login", F.lit("1990-01-01")), f.users):
-        users.write.mode("append").json(stream.landed)
-        schema = schemas.RAW["okta_users"]
-        arriving = streaming.stream_rows(f.spark, stream.landed, schema)
+def _stream_raw(f: Fixtures, tag: str, deliveries: list[DataFrame], metric_ids: set[str]) -> DataFrame:
+    """The summary after each delivery has been streamed in."""
+    landed, root, state = (scratch_path(f.spark, n) for n in ("stream_in", "stream_raw", "stream_state"))
+    store = Store(scratch_path(f.spark, "stream_store"))
+    metrics = [d for d in shipped_metrics() if d.metric_id in metric_ids]
+    for rows in deliveries:
+        rows.write.mode("append").json(landed)
+        arriving = streaming.stream_rows(f.spark, landed, schemas.RAW[tag])
         streaming.stream_metrics(
-            arriving, "okta_users", metrics, f.raw, AS_OF, stream.log, stream.checkpoint, f.assets
+            arriving, tag, metrics, f.raw, AS_OF, root, store, state, f.assets
         ).awaitTermination()
-    return streaming.replaced_summary(f.spark, stream.log)
+    return store.read_summary(f.spark)
+
+
+USER_METRICS = ("identity_credentials", "identity_dormant", "user_awareness")
+FIRST, SECOND = "2001-08-01 00:00:00", "2001-08-02 00:00:00"
+
+
+@query("stream_metric_run", f"select * from m_summary where metric_id in {USER_METRICS}")
+def stream_metric_run(f: Fixtures):
+    """Users of three tenancies in turn; one delivers again, and its first delivery comes once more."""
+    place = F.concat(F.lit("t"), F.crc32(F.col("profile.login").cast("binary")) % 3)
+    users = with_lineage(f.users, place, FIRST, "upload-1")
+    tenancy = [users.filter(F.col("_tenancy") == t) for t in ("t0", "t1", "t2")]
+    wrong = tenancy[0].withColumn("last_login", F.lit("1990-01-01"))
+    right = tenancy[0].withColumn("_upload_timestamp", F.lit(SECOND).cast("timestamp"))
+    deliveries = [wrong, tenancy[1], right, tenancy[2], wrong]
+    return _stream_raw(f, "okta_users", deliveries, set(USER_METRICS))
+
+
+@query("stream_findings_run", "select * from m_summary where metric_id like 'vulnerabilities%'")
+def stream_findings_run(f: Fixtures):
+    """Findings of three tenancies, one by one: a host keeps what another tenancy found."""
+    place = F.concat(F.lit("t"), F.col("created_timestamp").substr(10, 1).cast("int") % 3)
+    vulns = with_lineage(f.vulns, place, FIRST, "upload-1")
+    deliveries = [vulns.filter(F.col("_tenancy") == t) for t in ("t0", "t1", "t2")]
+    metrics = {d.metric_id for d in shipped_metrics() if d.family}
+    return _stream_raw(f, "crowdstrike_vulnerabilities", deliveries, metrics)

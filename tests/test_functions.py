@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from postura.functions.bands import ICONS, rag_columns, rag_label
 from postura.functions.dates import age_days, date_minus, older_than, to_date_lenient
 from postura.functions.numbers import lenient_number, percent, plain_number, safe_ratio
-from postura.functions.predicates import apply_filters, compliance, holds
+from postura.functions.predicates import compliance, holds, match_choices, match_criteria, match_present
 from tests.conftest import rows
 
 AS_OF = dt.date(2001, 8, 2)
@@ -90,8 +90,9 @@ def test_bands(spark):
 
 
 def test_filters(spark):
-    df = spark.createDataFrame([("a", "x"), ("b", "y"), (None, "x")], "k string, v string")
-    assert apply_filters(df, {"k": "", "v": None}) is df
-    assert apply_filters(df, None) is df
-    assert rows(apply_filters(df, {"k": "All", "v": "x"}, all_value="All")) == [("a", "x"), (None, "x")]
-    assert rows(apply_filters(df, {"k": "a"})) == [("a", "x")]
+    df = spark.createDataFrame([("a", 0.0), ("", 1.0), (None, 0.0)], "k string, v double")
+    assert match_criteria(df, {"k": "", "v": 0.0}) is df
+    assert match_criteria(df, None) is df
+    assert rows(match_present(df, {"k": "", "v": 0.0})) == [("a", 0.0), (None, 0.0)]
+    assert rows(match_choices(df, {"k": "", "v": "All"})) == [("", 1.0)]
+    assert rows(match_criteria(df, {"k": "a"})) == [("a", 0.0)]

@@ -36,7 +36,7 @@ def test_metrics(f):
 
 
 def test_sampled_dates_and_category_scores(f):
-    sampled = v_summary(f.stored_year, YEAR_END)
+    sampled = v_summary(f.stored_summary, YEAR_END)
     dates = {str(r[0]) for r in rows(sampled.select("datestamp").distinct())}
     assert len(dates) == 12
     assert max(dates) == "2001-10-10"

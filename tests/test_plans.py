@@ -47,7 +47,9 @@ def test_no_broadcast_hint_in_the_package():
 
     import postura
 
-    for file in pathlib.Path(postura.__file__).parent.rglob("*.py"):
+    # The optional folder broadcasts models of a stated bound; the package itself nothing.
+    files = pathlib.Path(postura.__file__).parent.rglob("*.py")
+    for file in (f for f in files if "llm" not in f.parts):
         assert not re.search(r"broadcast\(|\.localCheckpoint|\.toPandas", file.read_text()), file
 
 
@@ -80,11 +82,11 @@ def test_filters_and_columns_reach_the_raw_files(spark, tmp_path):
     )
     hosts = spark.createDataFrame([("1", "h")], "device_id string, hostname string")
     for tag, df in (("crowdstrike_vulnerabilities", vulns), ("crowdstrike_hosts", hosts)):
-        land(with_lineage(df, "a", "2001-01-01 00:00:00"), str(tmp_path), tag)
-    text = plan(vulnerabilities_critical(RawTables(spark, str(tmp_path), fmt="parquet"), AS_OF))
-    assert "In(cve.severity, [CRITICAL,HIGH])" in text
+        land(with_lineage(df, "a", "2001-01-01 00:00:00"), str(tmp_path), tag, fmt="parquet")
+    text = plan(vulnerabilities_critical(RawTables(spark, str(tmp_path)), AS_OF))
+    assert "And(IsNull(severity)" in text
     assert "In(status, [open,reopen])" in text
-    assert "ReadSchema: struct<aid:string,status:string,cve:struct<severity:string>>" in text
+    assert "ReadSchema: struct<aid:string,status:string,severity:string,cve:struct<severity:string>>" in text
 
 
 @pytest.fixture
@@ -108,9 +110,10 @@ def test_date_filters_prune_partitions(stored):
     assert re.search(r"PartitionFilters: \[[^]]*datestamp#\d+ >= 2000-02-01", kept)
 
 
-def test_upsert_streams_over_the_history(spark, stored):
-    """The replaced keys are local; the old table is not shuffled for the anti join."""
-    run = detail(spark, (dt.date(2001, 1, 3), "a", "h", 0.0))
+def test_upsert_streams_over_the_history(spark, stored, tmp_path):
+    """The replaced keys are broadcast by their size; the old table is not shuffled."""
+    detail(spark, (dt.date(2001, 1, 3), "a", "h", 0.0)).write.parquet(str(tmp_path / "run"))
+    run = spark.read.parquet(str(tmp_path / "run"))
     text = plan(replace_keys(stored, run, schemas.SUMMARY_REPLACE_KEYS))
     assert "LeftAnti, BuildRight" in text
-    assert "Exchange hashpartitioning" not in text
+    assert "SortMergeJoin" not in text

@@ -56,7 +56,7 @@ def test_trend_weighs_metrics(summary):
         (D1, 0.625, 0.8, 0.4),
         (D2, 0.5, 0.9, 0.5),
     ]
-    chosen = weighted_trend(summary, {"category": "All", "metric_id": "b", "business_unit": ""})
+    chosen = weighted_trend(summary, {"category": "All", "metric_id": "b"})
     assert values(chosen, "datestamp", "score") == [(D1, 1.0)]
 
 

@@ -178,7 +178,7 @@ def test_backup_is_used_only_where_current_data_is_missing(spark, tmp_path):
     raw.land(with_lineage(one, "a", AT), root, "snyk_organizations")
     for tag in ("snyk_organizations", "snyk_projects"):
         raw.land(with_lineage(two, "a", AT), backup, tag)
-    found = raw.RawTables(spark, root, fmt="parquet", backup=backup)
+    found = raw.RawTables(spark, root, backup=backup)
     assert rows(found.ref("snyk_organizations"), "id") == [("1",)]
     assert rows(found.ref("snyk_projects"), "id") == [("2",)]
     with pytest.raises(raw.MissingTable, match="snyk_issues"):
@@ -198,3 +198,46 @@ def test_json_twin_of_a_published_table(spark, tmp_path):
     df = spark.createDataFrame([("m", 0.5)], "metric_id string, slo double")
     df.write.json(str(tmp_path / "j"))
     assert rows(tables.read_json_rows(spark, str(tmp_path / "j"), df.schema)) == [("m", 0.5)]
+
+
+def test_foreign_and_mixed_formats_fail(spark, tmp_path):
+    df = with_lineage(spark.createDataFrame([("1",)], "id string"), "a", AT)
+    raw.land(df, str(tmp_path), "snyk_projects", fmt="parquet")
+    assert raw.ref(spark, str(tmp_path), "snyk_projects").count() == 1
+    with pytest.raises(raw.ForeignFormat):
+        raw.ref(spark, str(tmp_path), "snyk_projects", fmt="json")
+    df.write.mode("append").json(str(tmp_path / "snyk_projects" / "_tenancy=b"))
+    with pytest.raises(raw.ForeignFormat):
+        raw.ref(spark, str(tmp_path), "snyk_projects")
+    df.write.orc(str(tmp_path / "snyk_issues"))
+    with pytest.raises(raw.ForeignFormat):
+        raw.ref(spark, str(tmp_path), "snyk_issues")
+
+
+def test_landing_writes_the_backup(spark, tmp_path):
+    df = with_lineage(spark.createDataFrame([("1",)], "id string"), "a", AT)
+    raw.land(df, str(tmp_path / "now"), "snyk_projects", backup=str(tmp_path / "backup"))
+    lost = raw.RawTables(spark, str(tmp_path / "nowhere"), backup=str(tmp_path / "backup"))
+    assert rows(lost.ref("snyk_projects"), "id") == [("1",)]
+
+
+def test_history_follows_its_template(spark, tmp_path):
+    df = with_lineage(spark.createDataFrame([("1",)], "id string"), "acme", AT)
+    raw.append_history(df, str(tmp_path), "hosts", template="%YYYY-%MM/%TENANCY/%UUID.json")
+    found = spark.read.parquet(str(tmp_path))
+    assert {"year", "month", "tenancy"} <= set(found.columns) and "day" not in found.columns
+
+
+def test_a_missing_key_is_a_key(spark):
+    df = spark.createDataFrame([("x", None, 1, "v"), ("x", None, 2, "w"), ("x", "t", 1, "y")], "tag string, tenancy string, at int, v string")
+    assert rows(raw.latest_snapshot(df, uploaded_at="at"), "v") == [("w",), ("y",)]
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from postura.session import shared_root
+
+    conf = SimpleNamespace(get=lambda *_: None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_root(SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="spark://host:7077")))

@@ -5,7 +5,7 @@ import datetime as dt
 from postura import schemas
 from postura.operators.maintenance import redact, replace_keys, union_metrics, upsert_detail, upsert_summary
 from postura.operators.rollups import summarise
-from postura.operators.sizing import local_if_small, local_table
+from postura.operators.sizing import local_table
 from tests.conftest import rows
 
 D1, D2 = dt.date(2001, 1, 1), dt.date(2001, 1, 2)
@@ -45,22 +45,9 @@ def test_null_keys_are_never_replaced(spark):
     assert rows(replace_keys(old, new, ["metric_id"]), "v") == [(2,)]
 
 
-def test_replacing_works_beyond_the_local_limit(spark, monkeypatch):
-    from postura.operators import maintenance
-
-    monkeypatch.setattr(maintenance, "local_if_small", lambda df: local_if_small(df, 2))
-    old = spark.range(100).withColumnRenamed("id", "metric_id")
-    kept = replace_keys(old, old.filter("metric_id % 2 = 0"), ["metric_id"])
-    assert kept.count() == 50
-
-
 def test_local_tables_have_a_known_size(spark):
-    small = local_if_small(spark.range(3))
-    assert "LocalRelation" in small._jdf.queryExecution().optimizedPlan().toString()
-    assert rows(small) == [(0,), (1,), (2,)]
-    large = spark.range(4)
-    assert local_if_small(large, 3) is large
     made = local_table(spark, [{"metric_id": "m", "slo": 0.5}], schemas.LIBRARY)
+    assert "LocalRelation" in made._jdf.queryExecution().optimizedPlan().toString()
     assert rows(made, "metric_id", "slo", "title") == [("m", 0.5, None)]
 
 
