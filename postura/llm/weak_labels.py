@@ -18,14 +18,16 @@ empty result; very long texts are read whole.
 from __future__ import annotations
 
 import re
+import struct
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from operator import eq
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -82,34 +84,36 @@ def terms_of(run: str) -> list[tuple[int, str]]:
 
 
 class Lists:
-    """Listed words and word beginnings."""
+    """Listed words and word beginnings, looked for in one walk over a text."""
 
     def __init__(self, terms: set[tuple[int, str]] = frozenset()):
-        self.terms = terms
-        self.start()
-
-    def start(self) -> None:
-        self.hits = _Remembering(lambda run: tuple(t for t in terms_of(run) if t in self.terms))
+        self.__setstate__(terms)
 
     def __getstate__(self) -> set[tuple[int, str]]:
         return self.terms
 
     def __setstate__(self, terms: set[tuple[int, str]]) -> None:
         self.terms = terms
-        self.start()
-
-    def votes(self, runs: set[str]) -> str:
-        """A character for each list: how many of it the text has, 2 for more."""
-        if not self.terms:
-            return "0" * (1 + len(BEGINNINGS))
-        hit = {t for found in map(self.hits.__getitem__, runs) for t in found}
+        self.walk = ahocorasick.Automaton()
+        for _, term in terms:
+            self.walk.add_word(term, term)
+        self.walk.make_automaton()
+
+    def votes(self, low: str) -> str:
+        """A character for each list: how many of it the lower-case text has, 2 for more."""
+        hit = set()
+        if self.terms:
+            for end, term in self.walk.iter(low):
+                start = end + 1 - len(term)
+                if (start and low[start - 1].isalpha()) or not term:
+                    continue
+                longer = end + 1 < len(low) and low[end + 1].isalpha()
+                found = (len(term) if longer else 0, term)
+                if found in self.terms:
+                    hit.add(found)
         return "".join(str(min(2, sum(kind == k for kind, _ in hit))) for k in (0, *BEGINNINGS))
 
 
-def runs_of(text: str) -> set[str]:
-    return set(text.lower().split())
-
-
 def posterior(
     patterns: dict[str, int],
     start: dict[str, list[float]],
@@ -164,19 +168,22 @@ def toxic_kind(pattern: str) -> int:
     return 2 if pattern[1:].strip("0") else 1
 
 
+def _places(terms: list[tuple[int, bytes]]) -> bytes:
+    return struct.pack(f"<{len(terms)}i", *[zlib.crc32(t, kind) % DIMENSIONS for kind, t in terms])
+
+
 class Features:
     """Places of a text's features among ``DIMENSIONS``, each once."""
 
     def __init__(self):
-        place = lambda name: xxhash.xxh64_intdigest(name) % DIMENSIONS
-        self.runs = _Remembering(lambda run: np.array([place(f"{k} {t}") for k, t in terms_of(run)], "<i4").tobytes())
-        self.votes = _Remembering(lambda vote: np.array([place(f"{vote} {r}") for r in range(4)], "<i4").tobytes())
+        self.runs = _Remembering(lambda run: _places([(k, t.encode()) for k, t in terms_of(run)]))
+        self.votes = _Remembering(lambda vote: _places([(100 + r, vote.encode()) for r in range(4)]))
 
-    def __call__(self, runs: set[str], votes: str, toxic: str) -> np.ndarray:
+    def __call__(self, low: str, votes: str, toxic: str) -> np.ndarray:
         # Votes tell much more than a word, so each has several places; no vote has none.
         named = [f"vote {k} {c}" for k, c in enumerate(votes) if c != NONE]
         named += [f"listed {k} {c}" for k, c in enumerate(toxic)]
-        found = b"".join([*map(self.runs.__getitem__, runs), *map(self.votes.__getitem__, named)])
+        found = b"".join([*map(self.runs.__getitem__, set(low.split())), *map(self.votes.__getitem__, named)])
         return np.unique(np.frombuffer(found, "<i4"))
 
 
@@ -189,9 +196,9 @@ class Model:
 
     def score(self, features: Features, text: str) -> tuple[float, float, str, str]:
         """Quality, toxicity, and the votes."""
-        runs = runs_of(text)
-        votes, toxic = quality_votes(text), self.lists.votes(runs)
-        at = features(runs, votes, toxic)
+        low = text.lower()
+        votes, toxic = quality_votes(text), self.lists.votes(low)
+        at = features(low, votes, toxic)
         total = self.weights[:, at].sum(axis=1) / np.sqrt(len(at)) + self.weights[:, -1]
         quality, bad = (1 / (1 + np.exp(-np.clip(total, -50, 50)))).tolist()
         return quality, bad if self.lists.terms else 0.0, votes, toxic
@@ -244,7 +251,7 @@ def learn_lists(docs: DataFrame, sample: dict[int, int]) -> Lists:
         for doc_id, text in zip(part["doc_id"].to_pylist(), part["text"].to_pylist(), strict=True):
             toxic = sent.value.get(doc_id)
             if toxic is not None and text:
-                counts.update((*t, toxic) for t in {t for run in runs_of(text) for t in terms_of(run)})
+                counts.update((*t, toxic) for t in {t for run in set(text.lower().split()) for t in terms_of(run)})
 
     found = (
         _counted(docs.select("doc_id", "text"), tally, "kind int, term string, toxic int, n long")
@@ -271,7 +278,7 @@ def count_patterns(docs: DataFrame, lists: Lists, sample: dict[int, int]) -> lis
     def tally(part: pa.RecordBatch, counts: Counter) -> None:
         own, known = sent.value
         for doc_id, text in zip(part["doc_id"].to_pylist(), part["text"].to_pylist(), strict=True):
-            counts[quality_votes(text or ""), own.votes(runs_of(text or "")), known.get(doc_id, -1)] += 1
+            counts[quality_votes(text or ""), own.votes((text or "").lower()), known.get(doc_id, -1)] += 1
 
     counted = _counted(docs.select("doc_id", "text"), tally, "quality string, toxic string, known int, n long")
     return [tuple(r) for r in counted.groupBy("quality", "toxic", "known").agg(F.sum("n")).collect()]
@@ -319,9 +326,9 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
         def work(b: pa.RecordBatch) -> dict:
             out: dict = {"quality": [], "toxic": [], "at": []}
             for text in b["text"].to_pylist():
-                runs = runs_of(text)
-                q, t = quality_votes(text), sent.value.votes(runs)
-                for name, value in zip(out, (q, t, features(runs, q, t).tobytes()), strict=True):
+                low = text.lower()
+                q, t = quality_votes(text), sent.value.votes(low)
+                for name, value in zip(out, (q, t, features(low, q, t).tobytes()), strict=True):
                     out[name].append(value)
             return out
 
