@@ -18,7 +18,7 @@ from postura.operators.rollups import summarise
 from postura.operators.sizing import local_table
 from postura.session import scratch_path
 from postura.sources.raw import RawTables
-from postura.sources.tables import read_table, replace_partitions
+from postura.sources.tables import read_table
 
 AS_OF = dt.date(2001, 8, 2)
 YEAR_END = dt.date(2001, 11, 4)
@@ -234,7 +234,8 @@ class Fixtures:
         key = (self.spark.sparkContext.applicationId, self.sf_dir)
         if key not in _STORED:
             path = scratch_path(self.spark, "summary")
-            replace_partitions(self.summary, path, schemas.SUMMARY_PARTITIONS)
+            rows = self.summary.hint("rebalance", *schemas.SUMMARY_PARTITIONS)
+            rows.write.partitionBy(*schemas.SUMMARY_PARTITIONS).parquet(path)
             _STORED[key] = read_table(self.spark, path, schemas.SUMMARY)
         return _STORED[key]
 
