@@ -106,6 +106,10 @@ class Encoder:
         normal = self.v.library.normalizer.normalize_str(run)
         return b"".join([self._packed(w) for w, _ in self.v.library.pre_tokenizer.pre_tokenize_str(normal)])
 
+    def encode_run(self, run: str) -> bytes:
+        """Ids of one run without white space or special tokens, not remembered: for runs met once."""
+        return self._run(run)
+
     def _plain(self, text: str) -> bytes:
         if any(s in text for s in _SEPARATORS):
             runs = regex.split(r"\s+", text)
