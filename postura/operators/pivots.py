@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postura.functions.dates import as_column
@@ -98,6 +98,33 @@ def chart_wide(
     return wide.withColumns(cells).orderBy(x)
 
 
+def chart_map(
+    df: DataFrame, x: str, y: str, z: str, all_series: bool = False, order_by: Order = None
+) -> DataFrame:
+    """The wide form without a look at the data: one row per ``x``, its ``series`` as a map.
+
+    Series, holes and repeated cells are as in ``chart_wide``, but which series there are is found in
+    the same pass, so no job runs before the result is asked for, and new series need no new schema.
+    Only the points of one ``x``, and one row for each ``x``, meet in a task.
+    """
+    points = df.withColumn(z, dimension_label(z))
+    cell = F.max(y) if order_by is None else F.max_by(F.col(y), as_column(order_by))
+    cells = points.groupBy(x, z).agg(cell.cast("double").alias("_cell"))
+    rows = cells.groupBy(x).agg(F.map_from_entries(F.collect_list(F.struct(z, "_cell"))).alias("_points"))
+    everything = Window.partitionBy()
+    if all_series:
+        shown = F.array_distinct(F.flatten(F.collect_list(F.map_keys("_points")).over(everything)))
+    else:
+        shown = F.max_by(F.map_keys("_points"), F.col(x)).over(everything)
+    rows = rows.withColumn("_shown", F.sort_array(shown))
+
+    def filled(name: Column) -> Column:
+        return F.coalesce(F.nanvl(F.col("_points")[name], F.lit(0.0)), F.lit(0.0))
+
+    series = F.map_from_arrays("_shown", F.transform("_shown", filled)).alias("series")
+    return rows.select(x, series).orderBy(x)
+
+
 def series_latest(df: DataFrame, x: str, y: str, z: str) -> DataFrame:
     """The last value of each series, as a gauge shows it."""
     return df.groupBy(z).agg(F.max_by(y, x).alias(y))

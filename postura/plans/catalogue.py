@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from postura.functions.dates import DateLike, age_days, older_than
 from postura.functions.predicates import compliance
-from postura.operators.matching import COPIES, as_fan_out, entity_vs_findings, match_counts
+from postura.operators.matching import COPIES, Matching, as_fan_out, entity_vs_findings, with_counts
 from postura.sources.library import MetricDefinition
 from postura.sources.raw import RawTables
 
@@ -89,24 +89,12 @@ HOST_CONDITIONS: dict[str, Callable[[DataFrame, DateLike], Column]] = {
 }
 
 
-def host_metrics(
-    tables: RawTables,
-    as_of: DateLike,
-    metric_ids: Sequence[str] = tuple(HOST_CONDITIONS),
-    per_resource: bool = False,
-) -> DataFrame:
-    """Hosts free of the findings each metric looks for, with a ``metric_id`` column.
+def _hosts(tables: RawTables) -> DataFrame:
+    return tables.ref("crowdstrike_hosts").select("device_id", "hostname")
 
-    One scan and one shuffle of the findings answer all of ``metric_ids``.
-    """
-    findings = tables.ref("crowdstrike_vulnerabilities")
-    counted = match_counts(
-        tables.ref("crowdstrike_hosts").select("device_id", "hostname"),
-        findings,
-        "device_id",
-        "aid",
-        {m: HOST_CONDITIONS[m](findings, as_of) for m in metric_ids},
-    )
+
+def _host_rows(counted: DataFrame, metric_ids: Sequence[str], per_resource: bool = False) -> DataFrame:
+    """A row for each host and metric, from a count for each metric."""
     answers = F.array(
         *[F.struct(F.lit(m).alias("metric_id"), F.col(m).alias("_matches")) for m in metric_ids]
     )
@@ -125,6 +113,27 @@ def host_metrics(
     return measured.drop(COPIES) if per_resource else measured
 
 
+HOST_MATCHING = Matching(
+    "crowdstrike_vulnerabilities", "aid", HOST_CONDITIONS, _hosts, "device_id", _host_rows
+)
+
+
+def host_metrics(
+    tables: RawTables,
+    as_of: DateLike,
+    metric_ids: Sequence[str] = tuple(HOST_CONDITIONS),
+    per_resource: bool = False,
+) -> DataFrame:
+    """Hosts free of the findings each metric looks for, with a ``metric_id`` column.
+
+    One scan and one shuffle of the findings answer all of ``metric_ids``.
+    """
+    findings = tables.ref(HOST_MATCHING.tag)
+    counts = HOST_MATCHING.counts(findings, as_of, metric_ids)
+    counted = with_counts(_hosts(tables), counts, HOST_MATCHING.entity_key, metric_ids)
+    return _host_rows(counted, metric_ids, per_resource)
+
+
 def _host_metric(metric_id: str) -> Callable[..., DataFrame]:
     def build(tables: RawTables, as_of: DateLike, per_resource: bool = False) -> DataFrame:
         return host_metrics(tables, as_of, [metric_id], per_resource).drop("metric_id")
@@ -139,6 +148,22 @@ vulnerabilities_explot_patchable = _host_metric("vulnerabilities_explot_patchabl
 
 # --- projects against issues -----------------------------------------------------------
 
+DEVELOPMENT = "development_vulnerabilities"
+
+
+def _urgent_issue(issues: DataFrame, as_of: DateLike) -> Column:
+    severity = F.col("attributes.effective_severity_level")
+    return (F.col("attributes.status") == "open") & severity.isin(*URGENT_ISSUE)
+
+
+def _projects(tables: RawTables) -> DataFrame:
+    return tables.ref("snyk_projects").select("id", "attributes.name", "attributes.target_file")
+
+
+def _project_rows(rows: DataFrame, invert: bool = False) -> DataFrame:
+    matched = F.col("matched")
+    return _measured(rows, "name", "snyk", ~matched if invert else matched, F.col("target_file"))
+
 
 def development_vulnerabilities(
     tables: RawTables, as_of: DateLike, per_resource: bool = False, invert: bool = False
@@ -148,23 +173,30 @@ def development_vulnerabilities(
     A project *with* an issue counts as compliant, as users' history has it;
     ``invert`` measures what the title says.
     """
-    issue = (F.col("attributes.status") == "open") & F.col(
-        "attributes.effective_severity_level"
-    ).isin(*URGENT_ISSUE)
+    issues = tables.ref(PROJECT_MATCHING.tag)
     rows = entity_vs_findings(
-        tables.ref("snyk_projects").select("id", "attributes.name", "attributes.target_file"),
-        tables.ref("snyk_issues"),
-        "id",
-        "relationships.scan_item.data.id",
-        issue,
+        _projects(tables),
+        issues,
+        PROJECT_MATCHING.entity_key,
+        PROJECT_MATCHING.finding_key,
+        _urgent_issue(issues, as_of),
         per_entity=per_resource,
     )
-    matched = F.col("matched")
-    found = _measured(rows, "name", "snyk", ~matched if invert else matched, F.col("target_file"))
+    found = _project_rows(rows, invert)
     # One project with an issue is an issue, so it decides for all of the name.
     return one_per_resource(found, worst=invert) if per_resource else found
 
 
+PROJECT_MATCHING = Matching(
+    "snyk_issues",
+    "relationships.scan_item.data.id",
+    {DEVELOPMENT: _urgent_issue},
+    _projects,
+    "id",
+    lambda counted, _: _project_rows(as_fan_out(counted, DEVELOPMENT)).withColumn("metric_id", F.lit(DEVELOPMENT)),
+)
+
+
 # --- users -----------------------------------------------------------------------------
 
 
@@ -188,20 +220,46 @@ def identity_credentials(
     )
 
 
+AWARENESS = "user_awareness"
+
+
+def _logins(tables: RawTables) -> DataFrame:
+    return _active_users(tables).select("profile.login")
+
+
+def _trained(enrollments: DataFrame, as_of: DateLike) -> Column:
+    return age_days("completion_date", as_of) <= TRAINING_DAYS
+
+
+def _user_rows(rows: DataFrame) -> DataFrame:
+    return _measured(rows, "login", "user", F.col("matched"), F.col("login"))
+
+
 def user_awareness(tables: RawTables, as_of: DateLike, per_resource: bool = False) -> DataFrame:
     """Active users with a training completed within a year; one row per training."""
+    enrollments = tables.ref(USER_MATCHING.tag)
     rows = entity_vs_findings(
-        _active_users(tables).select("profile.login"),
-        tables.ref("knowbe4_enrollments"),
-        "login",
-        "user.email",
-        age_days("completion_date", as_of) <= TRAINING_DAYS,
+        _logins(tables),
+        enrollments,
+        USER_MATCHING.entity_key,
+        USER_MATCHING.finding_key,
+        _trained(enrollments, as_of),
         per_entity=per_resource,
     )
-    found = _measured(rows, "login", "user", F.col("matched"), F.col("login"))
+    found = _user_rows(rows)
     return one_per_resource(found, worst=False) if per_resource else found
 
 
+USER_MATCHING = Matching(
+    "knowbe4_enrollments",
+    "user.email",
+    {AWARENESS: _trained},
+    _logins,
+    "login",
+    lambda counted, _: _user_rows(as_fan_out(counted, AWARENESS)).withColumn("metric_id", F.lit(AWARENESS)),
+)
+
+
 # --- definitions -----------------------------------------------------------------------
 
 HOSTS = "hosts"
@@ -257,6 +315,11 @@ _BUILD = {
 }
 
 
+# How each metric counts findings, and the raw table whose rows it measures one by one.
+_MATCHING = {DEVELOPMENT: PROJECT_MATCHING, AWARENESS: USER_MATCHING} | dict.fromkeys(HOST_CONDITIONS, HOST_MATCHING)
+_ENTITIES = {DEVELOPMENT: "snyk_projects"} | dict.fromkeys(HOST_CONDITIONS, "crowdstrike_hosts")
+
+
 def shipped_metrics(only: str | None = None) -> list[MetricDefinition]:
     return [
         MetricDefinition(
@@ -269,6 +332,8 @@ def shipped_metrics(only: str | None = None) -> list[MetricDefinition]:
             description=(_BUILD[metric_id].__doc__ or title).splitlines()[0],
             build=_BUILD[metric_id],
             family=HOSTS if metric_id in HOST_CONDITIONS else None,
+            matching=_MATCHING.get(metric_id),
+            entity_tag=_ENTITIES.get(metric_id, "okta_users"),
         )
         for metric_id, title, category, slo, slo_min, weight in _METADATA
         if only in (None, metric_id)

@@ -1,11 +1,14 @@
-"""One publishing run: both maintained tables, both published copies, the alert."""
+"""One publishing run: both maintained tables, both published copies, the alert.
+
+All four are tables of one versioned root, so a run becomes visible as a whole or not at all.
+"""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postura import schemas
 from postura.functions.dates import DateLike
@@ -16,8 +19,13 @@ from postura.operators.sizing import local_table
 from postura.plans.alerts import alert_lines, alert_message
 from postura.plans.runner import MetricRun
 from postura.session import scratch_path
-from postura.sources.paths import delete
-from postura.sources.tables import read_or_empty, read_table, replace_partitions, write_csv
+from postura.sources.paths import delete, has_files
+from postura.sources.tables import CSV_OPTIONS, read_or_empty, read_table
+from postura.sources.versions import Change, Snapshot, VersionedRoot
+
+
+DETAIL, SUMMARY = "detail", "summary"
+DETAIL_CSV, SUMMARY_CSV = "published/detail.csv", "published/summary.csv"
 
 
 @dataclass(frozen=True)
@@ -26,27 +34,53 @@ class Store:
 
     root: str
 
-    @property
-    def detail(self) -> str:
-        return f"{self.root}/detail"
+    def versions(self, spark: SparkSession) -> VersionedRoot:
+        return VersionedRoot(spark, self.root)
 
-    @property
-    def summary(self) -> str:
-        return f"{self.root}/summary"
+    def current(self, spark: SparkSession) -> Snapshot:
+        """The state to read several tables from, so that they belong together."""
+        return self.versions(spark).current()
+
+    def begin(self, spark: SparkSession) -> Change:
+        """A change of the store; tables written before there were versions become part of it."""
+        change = self.versions(spark).begin()
+        if not change.base.number:
+            for table, schema, by in _MAINTAINED:
+                path = f"{self.root}/{table}"
+                if has_files(spark, path):
+                    change.write(read_table(spark, path, schema).hint("rebalance", *by), table, by)
+        return change
+
+    def _published(self, table: str) -> str:
+        snapshot = self.current(SparkSession.active())
+        return snapshot.path(table, "") if snapshot.parts(table) else f"{self.root}/{table}"
 
     @property
     def detail_csv(self) -> str:
-        return f"{self.root}/published/detail.csv"
+        """The published detail, as it stands now."""
+        return self._published(DETAIL_CSV)
 
     @property
     def summary_csv(self) -> str:
-        return f"{self.root}/published/summary.csv"
+        return self._published(SUMMARY_CSV)
+
+    def _read(self, spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:
+        snapshot = self.current(spark)
+        if not snapshot.number:
+            return read_or_empty(spark, f"{self.root}/{table}", schema)
+        return snapshot.read(spark, table, schema)
 
     def read_detail(self, spark: SparkSession) -> DataFrame:
-        return read_or_empty(spark, self.detail, schemas.DETAIL)
+        return self._read(spark, DETAIL, schemas.DETAIL)
 
     def read_summary(self, spark: SparkSession) -> DataFrame:
-        return read_or_empty(spark, self.summary, schemas.SUMMARY)
+        return self._read(spark, SUMMARY, schemas.SUMMARY)
+
+
+_MAINTAINED = (
+    (DETAIL, schemas.DETAIL, schemas.DETAIL_REPLACE_KEYS),
+    (SUMMARY, schemas.SUMMARY, schemas.SUMMARY_PARTITIONS),
+)
 
 
 def create_views(spark: SparkSession, store: Store, as_of: DateLike) -> None:
@@ -57,47 +91,49 @@ def create_views(spark: SparkSession, store: Store, as_of: DateLike) -> None:
     v_summary(summary, as_of).createOrReplaceTempView("v_summary")
 
 
-def write_detail(run: MetricRun, store: Store) -> None:
+def write_detail(run: MetricRun, change: Change) -> None:
     """Each metric of the run replaces its rows; other metrics' files are not touched.
 
-    The rows come evenly spread from being expanded and are written from there.
+    The rows come dealt by metric, as many files to a metric as its rows need.
     """
-    rows = run.detail.select(*schemas.DETAIL.fieldNames())
-    replace_partitions(rows, store.detail, schemas.DETAIL_REPLACE_KEYS, rebalance=False)
+    change.write(run.dealt_detail.select(*schemas.DETAIL.fieldNames()), DETAIL, schemas.DETAIL_REPLACE_KEYS)
 
 
-def write_summary(run: MetricRun, store: Store) -> None:
+def write_summary(run: MetricRun, change: Change) -> None:
     """Each (metric, date) of the run replaces its rows; a rerun changes nothing.
 
     The table is partitioned by date, as reports read it.  Of the dates of the run, the rows
-    of other metrics are read, set beside the new ones in the shared folder, and written back;
-    other dates are neither read nor written.
+    of other metrics are read and set beside the new ones; other dates are neither read nor written.
     """
-    spark = run.rows.sparkSession
-    merged = scratch_path(spark, "summary")
-    summarise(run.rows).write.parquet(f"{merged}/new")
-    new = read_table(spark, f"{merged}/new", schemas.SUMMARY)
-    dates = [r[0] for r in new.select("datestamp").distinct().collect()]  # one, as a rule
-    old = store.read_summary(spark).filter(F.col("datestamp").isin(dates))
-    replace_keys(old, new, schemas.SUMMARY_REPLACE_KEYS).unionByName(new).write.parquet(f"{merged}/all")
-    whole = read_table(spark, f"{merged}/all", schemas.SUMMARY)
-    replace_partitions(whole, store.summary, schemas.SUMMARY_PARTITIONS)
-    delete(spark, merged)
+    spark = change.spark
+    rolled = scratch_path(spark, "summary")
+    summarise(run.rows).write.parquet(rolled)
+    new = read_table(spark, rolled, schemas.SUMMARY)
+    dates = {f"datestamp={r[0]}" for r in new.select("datestamp").distinct().collect()}  # one, as a rule
+    old = change.seen.read(spark, SUMMARY, schemas.SUMMARY, lambda name, _: name in dates)
+    whole = replace_keys(old, new, schemas.SUMMARY_REPLACE_KEYS).unionByName(new)
+    change.write(whole.hint("rebalance", *schemas.SUMMARY_PARTITIONS), SUMMARY, schemas.SUMMARY_PARTITIONS)
+    delete(spark, rolled)
 
 
 def publish(run: MetricRun, store: Store, as_of: DateLike) -> DataFrame:
     """Publish a run and return its alert message.
 
-    The run is read several times: pass one that is on storage, from ``run_metrics``.  Its
-    staging folder, with the resources as they were, is removed at the end.
+    Readers see the state before until the last table is written, then all of the run.  The run is
+    read several times: pass one that is on storage, from ``run_metrics``.  Its staging folder, with
+    the resources as they were, is removed at the end.
     """
     spark = run.rows.sparkSession
-    write_detail(run, store)
-    write_summary(run, store)
-    write_csv(redact(store.read_detail(spark)), store.detail_csv)
-    write_csv(summary_sample(store.read_summary(spark), as_of), store.summary_csv)
+    change = store.begin(spark)
+    write_detail(run, change)
+    write_summary(run, change)
+    detail = change.seen.read(spark, DETAIL, schemas.DETAIL)
+    summary = change.seen.read(spark, SUMMARY, schemas.SUMMARY)
+    change.write(redact(detail), DETAIL_CSV, fmt="csv", **CSV_OPTIONS)
+    change.write(summary_sample(summary, as_of), SUMMARY_CSV, fmt="csv", **CSV_OPTIONS)
     message = alert_message(alert_lines(alert_table(run.rows)))
     found = local_table(spark, [r.asDict() for r in message.collect()], message.schema)  # a row a date
+    change.commit()
     if run.staging is not None:
         delete(spark, run.staging)
     return found

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from postura.functions.bands import rag_label
 from postura.functions.numbers import percent
-from postura.operators.pivots import chart_wide, series_latest
+from postura.operators.pivots import chart_map, chart_wide, series_latest
 from postura.operators.scoring import (
     Filters,
     metric_cards,
@@ -33,7 +33,10 @@ def categories_rag(summary: DataFrame, filters: Filters = None) -> DataFrame:
 def overview_page(
     summary: DataFrame, filters: Filters = None, business_units: Sequence[str] | None = None
 ) -> dict[str, DataFrame]:
-    """Organisation trend with targets, and one score column per business unit."""
+    """Organisation trend with targets, and one score column per business unit.
+
+    ``business_unit_series`` has the same scores as a map: it needs no names and no job to find them.
+    """
     by_unit = weighted_score(summary, filters, "business_unit")
     return {
         "organisation": chart_wide(
@@ -42,6 +45,7 @@ def overview_page(
         "business_units": chart_wide(
             by_unit, "datestamp", ["value"], "business_unit", series=business_units
         ),
+        "business_unit_series": chart_map(by_unit, "datestamp", "value", "business_unit"),
     }
 
 

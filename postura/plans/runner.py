@@ -22,7 +22,8 @@ from postura import schemas
 from postura.functions.dates import as_date
 from postura.operators.assets import enrich_assets
 from postura.operators.maintenance import union_metrics
-from postura.operators.matching import COPIES, copies, expand
+from postura.operators.matching import COPIES, copies, expand, expand_dealt
+from postura.operators.outer_counts import count_right_side
 from postura.plans.catalogue import FAMILIES
 from postura.sources.library import MetricDefinition, library_frame
 from postura.sources.raw import MissingTable, RawTables
@@ -71,12 +72,26 @@ class MetricRun:
         partitions = math.ceil(sum(known) / ROWS_PER_TASK) or 1 if known else None
         return expand(self.rows, partitions)
 
+    @property
+    def dealt_detail(self) -> DataFrame:
+        """The same, dealt by metric: a task and a file for every ``ROWS_PER_TASK`` rows of each."""
+        counted: dict[str, int] = {}
+        for o in self.report:
+            if o.rows:
+                counted[o.metric_id] = counted.get(o.metric_id, 0) + o.rows
+        if not counted:
+            return self.detail
+        return expand_dealt(self.rows, "metric_id", {m: math.ceil(n / ROWS_PER_TASK) for m, n in counted.items()})
+
     def failures(self) -> list[Outcome]:
         return [o for o in self.report if o.status in ("failed", "empty")]
 
 
 def metric_sql(query: str, tables: RawTables, as_of: dt.date) -> DataFrame:
-    """Run a Spark SQL text in which ``{{ ref('tag') }}`` names a raw table and ``:as_of`` today."""
+    """Run a Spark SQL text in which ``{{ ref('tag') }}`` names a raw table and ``:as_of`` today.
+
+    A left join of entities and findings comes back as compact rows; ``expand`` multiplies them.
+    """
     tags = list(dict.fromkeys(_REF.findall(query)))
     frames, missing = {}, []
     for tag in tags:
@@ -92,7 +107,7 @@ def metric_sql(query: str, tables: RawTables, as_of: dt.date) -> DataFrame:
         for tag, view in views.items():
             frames[tag].createOrReplaceTempView(view)
         text = _REF.sub(lambda m: views[m.group(1)], query)
-        return spark.sql(text, args={"as_of": as_of})
+        return count_right_side(spark.sql(text, args={"as_of": as_of}))
     finally:
         for view in views.values():
             spark.catalog.dropTempView(view)
@@ -127,7 +142,8 @@ def stamp_family(df: DataFrame, definitions: Sequence[MetricDefinition], as_of)
     return df.join(library, "metric_id").withColumn("datestamp", as_date(as_of))
 
 
-def _contract_rows(df: DataFrame, *extra: str) -> DataFrame:
+def contract_rows(df: DataFrame, *extra: str) -> DataFrame:
+    """A metric's result in the contract's types, with how many rows each row stands for."""
     check_contract(df)
     types = {c: schemas.DETAIL[c].dataType for c in schemas.CONTRACT}
     columns = [F.col(c).cast(t).alias(c) for c, t in types.items()]
@@ -143,7 +159,7 @@ def measure(definition: MetricDefinition, tables: RawTables, as_of: dt.date) ->
         result = metric_sql(definition.query, tables, as_of)
     else:
         raise MetadataError("definition lacks query")
-    return stamp_metadata(_contract_rows(result), definition, as_of)
+    return stamp_metadata(contract_rows(result), definition, as_of)
 
 
 def measure_family(
@@ -152,7 +168,7 @@ def measure_family(
     """The stamped rows of metrics sharing their tables, measured together."""
     build = FAMILIES[definitions[0].family]
     result = build(tables, as_of, [d.metric_id for d in definitions])
-    return stamp_family(_contract_rows(result, "metric_id"), definitions, as_of)
+    return stamp_family(contract_rows(result, "metric_id"), definitions, as_of)
 
 
 def _failed(definition: MetricDefinition, error: Exception) -> Outcome:

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from postura import schemas
 from postura.functions.dates import as_column
+from postura.operators.matching import Matching
 from postura.operators.sizing import local_table
+from postura.sources.paths import has_files
 
 # How definition files are named.
 DEFINITION_GLOB = "metric_*.yml"
@@ -23,7 +25,8 @@ class MetricDefinition:
     """One metric: its metadata and either a SQL text or a DataFrame function.
 
     ``family`` names metrics that can be measured together in one pass over
-    their tables; see ``postura.plans.runner``.
+    their tables; see ``postura.plans.runner``.  ``matching`` and ``entity_tag`` say
+    how a change of a raw table changes the result; see ``postura.streaming.differences``.
     """
 
     metric_id: str | None = None
@@ -36,6 +39,8 @@ class MetricDefinition:
     query: str | None = None
     build: Callable[..., DataFrame] | None = None
     family: str | None = None
+    matching: Matching | None = None
+    entity_tag: str | None = None
     source: str | None = None
 
     def missing_metadata(self) -> list[str]:
@@ -51,16 +56,31 @@ class MetricDefinition:
         return cls(**known, source=source)
 
 
-def load_metrics(folder: str | Path, only: str | None = None) -> list[MetricDefinition]:
-    """Definitions of a folder in name order: all, or the one with that file name or id."""
+def _definition_texts(folder: str | Path, spark: SparkSession | None) -> list[tuple[str, str]]:
+    """Name and text of each definition file, in name order."""
+    if spark is None:
+        return [(f.name, f.read_text(encoding="utf-8")) for f in sorted(Path(folder).glob(DEFINITION_GLOB))]
+    place = str(folder).rstrip("/")
+    if not has_files(spark, f"{place}/{DEFINITION_GLOB}"):
+        return []
+    files = spark.read.text(f"{place}/{DEFINITION_GLOB}", wholetext=True)
+    return sorted(tuple(r) for r in files.select("_metadata.file_name", "value").collect())  # a row a metric
+
+
+def load_metrics(
+    folder: str | Path, only: str | None = None, spark: SparkSession | None = None
+) -> list[MetricDefinition]:
+    """Definitions of a folder in name order: all, or the one with that file name or id.
+
+    With ``spark`` the folder is any URI the cluster reads; without it is one of the driver's own.
+    """
     import yaml
 
     found = []
-    for file in sorted(Path(folder).glob(DEFINITION_GLOB)):
-        definition = MetricDefinition.from_mapping(
-            yaml.safe_load(file.read_text(encoding="utf-8")), source=file.stem
-        )
-        if only in (None, file.stem, definition.metric_id):
+    for name, text in _definition_texts(folder, spark):
+        stem = name.rpartition(".")[0]
+        definition = MetricDefinition.from_mapping(yaml.safe_load(text), source=stem)
+        if only in (None, stem, definition.metric_id):
             found.append(definition)
     return found
 

@@ -31,7 +31,7 @@ def with_lineage(
         uploaded_at = uploaded_at.strftime(UPLOAD_TIME_FORMAT)
     return df.withColumns(
         {
-            "_tenancy": tenancy if isinstance(tenancy, Column) else F.lit(tenancy),
+            "_tenancy": tenancy if isinstance(tenancy, Column) else F.lit(tenancy).cast("string"),
             "_upload_timestamp": F.lit(uploaded_at).cast("timestamp"),
             "_upload_id": F.lit(upload_id or str(uuid.uuid4())),
         }

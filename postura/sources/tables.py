@@ -50,15 +50,18 @@ def replace_partitions(
     )
 
 
+# A header, and quotes doubled as spreadsheets and browsers expect.
+CSV_OPTIONS = {"header": True, "escape": '"'}
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header, quotes doubled as spreadsheets and browsers expect."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def read_csv_strings(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """CSV as text columns; blank lines are skipped, numbers are parsed later."""
     text = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return spark.read.schema(text).option("header", True).option("escape", '"').csv(path)
+    return spark.read.schema(text).options(**CSV_OPTIONS).csv(path)
 
 
 def read_summary_csv(spark: SparkSession, path: str) -> DataFrame:

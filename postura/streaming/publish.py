@@ -1,8 +1,8 @@
 """Publishing as files arrive.
 
-Raw records are landed by tenancy, then the metrics are measured on all that has landed and the
-maintained summary takes the result: a batch run, for whatever has arrived.  A replayed or repeated
-delivery lands as it did before and changes nothing.
+Raw records are landed by tenancy, as they arrive: an upload may come in several files, late, or again.
+Then the maintained summary takes the difference that the new files make (``differences``).  A replayed
+or repeated delivery lands as it did before and changes nothing.
 
 A stream of detail rows has as its sink a log of summary rows: each batch writes its sums under its
 batch id.  That is one partition per batch however many metric-days it touches, nothing written
@@ -16,6 +16,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,15 +24,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from postura import schemas
 from postura.operators.rollups import summarise
-from postura.operators.sizing import local_table
-from postura.plans.publish import Store, write_summary
-from postura.plans.runner import plan_metrics
+from postura.plans.publish import Store
 from postura.sources.library import MetricDefinition
-from postura.sources.paths import has_files
-from postura.sources.raw import RawTables, land, latest_snapshot, ref, table_path
+from postura.sources.raw import RawTables, land_arriving, latest_snapshot
 from postura.sources.tables import replace_partitions
+from postura.streaming.differences import Maintained
 
 BATCH = "batch_id"
+_FILE = "_file"
 _LOG = T.StructType([*schemas.SUMMARY.fields, T.StructField(BATCH, T.LongType())])
 
 
@@ -88,23 +88,19 @@ def stream_metrics(
     """Land arriving raw records of ``tag`` below ``root`` and bring the summary up to date.
 
     Records need their lineage.  Of several uploads of a tenancy the newest stands, in a batch
-    and between batches.  ``tables`` holds the other raw tables the metrics refer to.
+    and between batches, and all files of that upload count, whichever batch they come in.
+    ``tables`` holds the other raw tables the metrics refer to; given as frames, they must stay
+    as they are as long as ``checkpoint`` is used.
     """
     spark = arriving.sparkSession
-    place = table_path(root, tag)
+    try:  # a file source says which file a row is from
+        arriving = arriving.withColumn(_FILE, F.col("_metadata.file_path"))
+    except AnalysisException:
+        arriving = arriving.withColumn(_FILE, F.lit(None).cast("string"))
 
     def update(batch: DataFrame, batch_id: int) -> None:
-        delivered = latest_snapshot(batch, ["_tenancy"])
-        if has_files(spark, place):
-            landed = ref(spark, root, tag).groupBy("_tenancy").agg(F.max("_upload_timestamp").alias("_at"))
-            at = [r.asDict() for r in landed.collect()]  # a row a tenancy
-            known = local_table(spark, at, landed.schema)
-            newer = F.col("_at").isNull() | (F.col("_upload_timestamp") >= F.col("_at"))
-            delivered = delivered.join(known, "_tenancy", "left").filter(newer).drop("_at")
-        land(delivered, root, tag)
-        if has_files(spark, place):
-            current = tables.with_table(tag, ref(spark, root, tag))
-            write_summary(plan_metrics(definitions, current, as_of, assets), store)
+        land_arriving(batch, root, tag, file=_FILE)
+        Maintained(spark, tag, definitions, tables, as_of, root, store, assets).update()
 
     return (
         arriving.writeStream.option("checkpointLocation", checkpoint)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from postura import schemas
@@ -11,13 +13,27 @@ from postura.operators.rollups import metric_scores, summarise
 from postura.plans.catalogue import shipped_metrics
 from postura.plans.runner import plan_metrics
 from postura.session import scratch_path
-from postura.sources import documents, pages, raw, tables
-from postura.sources.library import library_frame, library_listing
+from postura.sources import documents, pages, paths, raw, tables
+from postura.sources.library import library_frame, library_listing, load_metrics
 from postura.sources.lineage import with_lineage
 from postura.workload.fixtures import AS_OF, Fixtures
 from postura.workload.registry import query
 
 UPLOADED = "2001-08-02 03:04:05"
+# Two metrics as users write them.
+SQL_TEXTS = {
+    "vulnerabilities_critical": """
+        select h.hostname as resource, 'host' as resource_type,
+          case when v.aid is null then 1 else 0 end as compliance, '' as detail
+        from {{ ref('crowdstrike_hosts') }} as h
+        left join {{ ref('crowdstrike_vulnerabilities') }} as v on h.device_id = v.aid
+          and v.cve.severity in ('HIGH', 'CRITICAL') and v.status in ('open', 'reopen')""",
+    "identity_dormant": """
+        select profile.login as resource, 'user' as resource_type,
+          case when datediff(:as_of, cast(last_login as date)) < 90 then 1 else 0 end as compliance,
+          last_login as detail
+        from {{ ref('okta_users') }} where status = 'ACTIVE'""",
+}
 VULN_COLUMNS = "aid, status, severity, remediation_level, exploit_status, published_date, created_timestamp"
 
 
@@ -108,6 +124,36 @@ def latest_snapshot(f: Fixtures):
     return newest.select(*f.uploads.columns)
 
 
+@query(
+    "newest_uploads",
+    """select * from f_uploads u where upload_date =
+         (select max(upload_date) from f_uploads m where m.tag = u.tag and m.tenancy is not distinct from u.tenancy)""",
+)
+def newest_uploads(f: Fixtures):
+    """The same from a history on storage, partitioned by upload: the newest folders alone are read."""
+    path = scratch_path(f.spark, "uploads")
+    parts = ["tag", "tenancy", "upload_date"]
+    f.uploads.hint("rebalance", *parts).write.partitionBy(*parts).parquet(path)
+    return raw.newest_uploads(f.spark, path, f.uploads.schema, parts[:2], parts[2])
+
+
+@query(
+    "land_backup",
+    """select aid, case when cast(aid as bigint) % 3 = 1 then upper(status) else status end as status,
+         concat('t', cast(cast(aid as bigint) % 3 as string)) as tenancy
+       from f_vulns""",
+)
+def land_backup(f: Fixtures):
+    """The second root, filled from the files landed in the first."""
+    root, backup, tag = (*(scratch_path(f.spark, n) for n in ("land", "backup")), "crowdstrike_vulnerabilities")
+    delivered = _with_tenancy(f)
+    raw.land(delivered, root, tag, backup=backup)
+    again = delivered.filter(F.col("_tenancy") == "t1").withColumn("status", F.upper("status"))
+    raw.land(again, root, tag, backup=backup)
+    landed = raw.ref(f.spark, backup, tag)
+    return landed.select("aid", "status", F.col("_tenancy").alias("tenancy"))
+
+
 @query(
     "json_documents",
     f"""select {VULN_COLUMNS}, concat('t', cast(cast(aid as bigint) % 3 as string)) as tenancy,
@@ -203,6 +249,27 @@ def metric_library(f: Fixtures):
     return library_listing(library_frame(f.spark, definitions)).join(measured, "metric_id")
 
 
+@query(
+    "metric_library_from_files",
+    """select category, metric_id, title, weight, count(*) as resources, sum(compliance) as compliant,
+         printf('%.2f%% - %.2f%%', slo_min * 100, slo * 100) as slo_range
+       from m_detail where metric_id in ('vulnerabilities_critical', 'identity_dormant')
+       group by category, metric_id, title, slo, slo_min, weight""",
+)
+def metric_library_from_files(f: Fixtures):
+    """Definitions read from files on shared storage, measured by their SQL texts."""
+    folder = scratch_path(f.spark, "definitions")
+    for d in shipped_metrics():
+        if d.metric_id in SQL_TEXTS:
+            values = {name: getattr(d, name) for name in schemas.METADATA} | {"query": SQL_TEXTS[d.metric_id]}
+            paths.write_text(f.spark, f"{folder}/metric_{d.metric_id}.yml", json.dumps(values))
+    definitions = load_metrics(folder, spark=f.spark)
+    measured = metric_scores(plan_metrics(definitions, f.raw, AS_OF).rows).select(
+        "metric_id", F.col("total").alias("resources"), F.col("totalok").alias("compliant")
+    )
+    return library_listing(library_frame(f.spark, definitions)).join(measured, "metric_id")
+
+
 @query("summary_rollup_from_documents", "select * from f_summary")
 def summary_from_documents(f: Fixtures):
     """A report straight from JSON documents: typed on read, then rolled up."""

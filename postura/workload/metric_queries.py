@@ -26,6 +26,7 @@ from postura.sources.library import MetricDefinition
 from postura.sources.lineage import with_lineage
 from postura.sources.tables import read_csv_strings, read_summary_csv
 from postura.workload.fixtures import AS_OF, Fixtures
+from postura.workload.oracle import RUN_DATE, on_days
 from postura.workload.registry import query
 
 UPLOADED = "2001-08-02 03:04:05"
@@ -229,7 +230,30 @@ SQL_METRIC = """
 )
 def sql_metric(f: Fixtures):
     """A user's own metric, written as a SQL text."""
-    return metric_sql(SQL_METRIC, f.raw, AS_OF)
+    return expand(metric_sql(SQL_METRIC, f.raw, AS_OF))
+
+
+SQL_WORST = """
+    select h.hostname as resource, v.cve.severity as resource_type,
+      case when v.cve.severity = 'CRITICAL' then 0.0 else 1.0 end as compliance,
+      concat(h.device_id, ' ', v.status) as detail
+    from {{ ref('crowdstrike_hosts') }} as h
+    left join {{ ref('crowdstrike_vulnerabilities') }} as v on h.device_id = v.aid and v.status <> 'closed'
+    where v.aid is null or v.cve.severity is not null
+"""
+
+
+@query(
+    "metric_sql_columns",
+    """select hostname as resource, severity as resource_type,
+         case when severity = 'CRITICAL' then 0.0e0 else 1.0e0 end as compliance,
+         device_id || ' ' || status as detail
+       from f_hosts left join f_vulns on device_id = aid and status <> 'closed'
+       where aid is null or severity is not null""",
+)
+def sql_metric_columns(f: Fixtures):
+    """One that shows columns of the findings, and filters the joined rows."""
+    return expand(metric_sql(SQL_WORST, f.raw, AS_OF)).withColumn("compliance", F.col("compliance").cast("double"))
 
 
 @query("metric_run", "select * from m_detail")
@@ -317,6 +341,21 @@ def publish_run(f: Fixtures):
     return _published(f).read_summary(f.spark).filter(F.col("datestamp") == F.lit(AS_OF))
 
 
+BOTH_DAYS = on_days("select * from m_summary", "2001-08-01", RUN_DATE)
+
+
+@query("publish_run_days", BOTH_DAYS)
+def publish_run_days(f: Fixtures):
+    """The summary holds the runs of both days, each with its own ages."""
+    return _published(f).read_summary(f.spark)
+
+
+@query("publish_summary_csv_days", BOTH_DAYS)
+def publish_summary_csv_days(f: Fixtures):
+    """Two dates are fewer than a sample holds, so both are published."""
+    return read_summary_csv(f.spark, _published(f).summary_csv)
+
+
 @query("publish_detail", "select * from m_detail")
 def publish_detail(f: Fixtures):
     """The detail holds the newest run alone."""

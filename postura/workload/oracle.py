@@ -219,6 +219,15 @@ BLOCKS["by_metric"] = weighted("metric_id")
 BLOCKS["by_one_metric"] = weighted("category", "metric_id = 'economy'")
 
 
+# Fixed value: the run date that the blocks name.
+RUN_DATE = "2001-08-02"
+
+
+def on_days(body: str, *days: str) -> str:
+    """The rows of ``body`` for runs of several days."""
+    return "\nunion all\n".join(f"select * from ({statement(body).replace(RUN_DATE, day)})" for day in days)
+
+
 def statement(body: str) -> str:
     """``body`` preceded by the blocks it needs, directly or through others."""
     needed: set[str] = set()

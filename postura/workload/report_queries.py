@@ -469,6 +469,20 @@ def chart_wide(f: Fixtures):
     return pivots.chart_wide(scores, "datestamp", ["value"], "category", all_series=True)
 
 
+@query(
+    "chart_map",
+    """select d.datestamp, c.category, round(coalesce(value, 0), 6) as value
+       from (select distinct datestamp from by_category) d
+       cross join (select distinct category from by_category) c
+       left join by_category using (datestamp, category)""",
+)
+def chart_map(f: Fixtures):
+    """The same points as a map for each date, in one pass: holes are zeros."""
+    scores = rounded(scoring.weighted_score(f.summary, None, "category"), "value")
+    wide = pivots.chart_map(scores, "datestamp", "value", "category", all_series=True)
+    return wide.select("datestamp", F.explode("series").alias("category", "value"))
+
+
 @query(
     "series_latest",
     """select category, round(value, 6) as value from by_category c
@@ -569,10 +583,12 @@ def stream_sum(f: Fixtures):
     return streaming.accumulated_summary(f.spark, stream.log)
 
 
-def _stream_raw(f: Fixtures, tag: str, deliveries: list[DataFrame], metric_ids: set[str]) -> DataFrame:
+def _stream_raw(
+    f: Fixtures, tag: str, deliveries: list[DataFrame], metric_ids: set[str], store: Store | None = None
+) -> DataFrame:
     """The summary after each delivery has been streamed in."""
     landed, root, state = (scratch_path(f.spark, n) for n in ("stream_in", "stream_raw", "stream_state"))
-    store = Store(scratch_path(f.spark, "stream_store"))
+    store = store or Store(scratch_path(f.spark, "stream_store"))
     metrics = [d for d in shipped_metrics() if d.metric_id in metric_ids]
     for rows in deliveries:
         rows.write.mode("append").json(landed)
@@ -599,6 +615,22 @@ def stream_metric_run(f: Fixtures):
     return _stream_raw(f, "okta_users", deliveries, set(USER_METRICS))
 
 
+@query("stream_split_upload", f"select * from m_summary where metric_id in {USER_METRICS}")
+def stream_split_upload(f: Fixtures):
+    """Uploads in several files and triggers: parts add up, a part that comes again does not."""
+    place = F.concat(F.lit("t"), F.crc32(F.col("profile.login").cast("binary")) % 2)
+    users = with_lineage(f.users, place, FIRST, "upload-1")
+    one, other = (users.filter(F.col("_tenancy") == t) for t in ("t0", "t1"))
+    half = F.crc32(F.reverse("profile.login").cast("binary")) % 2 == 0
+    newer = one.withColumns({"_upload_timestamp": F.lit(SECOND).cast("timestamp"), "_upload_id": F.lit("upload-2")})
+    wrong = one.withColumn("last_login", F.lit("1990-01-01"))
+    deliveries = [
+        wrong, other.filter(half), newer.filter(half), other.filter(~half), newer.filter(~half),
+        other.filter(half), wrong.filter(half), newer.filter(half),
+    ]
+    return _stream_raw(f, "okta_users", [d.coalesce(1) for d in deliveries], set(USER_METRICS))
+
+
 @query("stream_findings_run", "select * from m_summary where metric_id like 'vulnerabilities%'")
 def stream_findings_run(f: Fixtures):
     """Findings of three tenancies, one by one: a host keeps what another tenancy found."""
@@ -607,3 +639,30 @@ def stream_findings_run(f: Fixtures):
     deliveries = [vulns.filter(F.col("_tenancy") == t) for t in ("t0", "t1", "t2")]
     metrics = {d.metric_id for d in shipped_metrics() if d.family}
     return _stream_raw(f, "crowdstrike_vulnerabilities", deliveries, metrics)
+
+
+@query("stream_findings_changes", "select * from m_summary where metric_id like 'vulnerabilities%'")
+def stream_findings_changes(f: Fixtures):
+    """A tenancy's findings are replaced by others, in two parts; an older upload comes late."""
+    place = F.concat(F.lit("t"), F.col("created_timestamp").substr(10, 1).cast("int") % 2)
+    vulns = with_lineage(f.vulns, place, FIRST, "upload-1")
+    one, other = (vulns.filter(F.col("_tenancy") == t) for t in ("t0", "t1"))
+    newer = one.withColumn("_upload_timestamp", F.lit(SECOND).cast("timestamp"))
+    odd = F.col("aid").cast("bigint") % 2 == 1
+    closed = one.withColumn("status", F.when(odd, "open").otherwise("closed"))
+    deliveries = [closed, other.filter(odd), newer.filter(odd), other.filter(~odd), newer.filter(~odd), closed]
+    metrics = {d.metric_id for d in shipped_metrics() if d.family}
+    return _stream_raw(f, "crowdstrike_vulnerabilities", [d.coalesce(1) for d in deliveries], metrics)
+
+
+@query("stream_issues_and_trainings", "select * from m_summary where metric_id in ('development_vulnerabilities', 'user_awareness')")
+def stream_issues_and_trainings(f: Fixtures):
+    """Two streams into one store, each keeping its own metric up to date."""
+    half = F.crc32(F.col("completion_date").cast("binary")) % 2 == 0
+    trainings = with_lineage(f.enrollments, "t0", FIRST, "upload-1").coalesce(1)
+    issues = with_lineage(f.issues, "t0", FIRST, "upload-1").coalesce(1)
+    wrong = issues.withColumn("attributes", F.col("attributes").withField("status", F.lit("open")))
+    right = issues.withColumn("_upload_timestamp", F.lit(SECOND).cast("timestamp"))
+    store = Store(scratch_path(f.spark, "stream_store"))
+    _stream_raw(f, "snyk_issues", [wrong, right], {"development_vulnerabilities"}, store)
+    return _stream_raw(f, "knowbe4_enrollments", [trainings.filter(half), trainings.filter(~half)], {"user_awareness"}, store)
