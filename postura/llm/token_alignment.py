@@ -161,15 +161,12 @@ class Aligner:
         )
 
     def tokens(self, texts: list[str | None]) -> list[tuple[list[int], list[int]]]:
-        """Ids by both vocabularies; none where a side does not spell the text."""
+        """Ids by both vocabularies; none where the second does not spell the text, as the byte-level one always does."""
         out: list[tuple[list[int], list[int]]] = []
+        bytes_of = self.b.bytes_of.__getitem__
         for text, ids_b in zip(texts, self.b.encode([t or "" for t in texts]), strict=True):
-            ids_a = self.a.encode(" " + text) if text else []
-            whole = f" {text}".encode() if text else b""
-            spelt = text and all(
-                b"".join(map(v.bytes_of.__getitem__, ids)) == whole for v, ids in ((self.a, ids_a), (self.b, ids_b))
-            )
-            out.append((ids_a, ids_b) if spelt else ([], []))
+            spelt = text and b"".join(map(bytes_of, ids_b)) == f" {text}".encode()
+            out.append((self.a.encode(" " + text), ids_b) if spelt else ([], []))
         return out
 
     def __call__(self, texts: list[str | None]) -> list[tuple]:
@@ -196,7 +193,8 @@ class Aligner:
         written[np.arange(len(ids_a)) + before_b[group_a]] = ids_a + last_a * V
         written[np.arange(len(ids_b)) + cuts_a[group_b] + 1] = 2 * V + ids_b + last_b * W
         # Every stretch between neighbouring ends of either side is a link.
-        ends = np.union1d(ends_a, ends_b)
+        ends = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")  # merges two sorted runs
+        ends = ends[np.r_[True, ends[1:] != ends[:-1]]]
         links = ids_a[np.searchsorted(ends_a, ends)] << self.shift | ids_b[np.searchsorted(ends_b, ends)]
         to_link = np.searchsorted(ends, ends_a[to_a - 1], "right")
         out, k = [], 0
