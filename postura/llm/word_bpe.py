@@ -1,13 +1,15 @@
 """Text to subword ids with a public vocabulary of word-ending BPE, word by word and remembered.
 
-Pre-tokens never cross white space, so a text is the sequence of its white-space runs' ids, and a
-run met before is looked up.  Normalising and splitting follow the vocabulary file: NFC, lower case
-per character, then contractions, runs of letters, single digits, runs of anything else.
+Normalising and splitting follow the vocabulary file: NFC, lower case per character, then
+contractions, runs of letters, single digits, runs of anything else.  Where that is the same in all
+Unicode versions, a text is split at once; else its white-space runs, which no pre-token crosses, are
+split by the library.  A word met before is looked up.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import struct
 import unicodedata
 from collections.abc import Callable
@@ -17,17 +19,23 @@ import regex
 from tokenizers import Tokenizer
 
 FILE = "word_bpe_49k.json"
-#: Words remembered per task, kind and generation.
-REMEMBERED = 200_000
+#: Keys remembered per task, kind and generation, and the longest one: a bound on bytes, as a value is
+#: a few bytes a character.
+REMEMBERED, LONGEST = 150_000, 64
 
 # Splitting pattern of the vocabulary file.
 _SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+# The same for ASCII in lower case.
+_SPLIT_ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t\n\x0b\x0c\ra-z0-9]+")
 # Below this, character classes agree between all Unicode versions in use; others go by the library.
 _PLAIN = regex.compile("[\x00-ԯ]*")
 # White space to str.split, but not to the vocabulary's pattern.
 _SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
 
 
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(16)]
+
+
 def byte_alphabet() -> list[str]:
     """The printable character that stands for each byte: itself where printable, else from 256 on."""
     printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -51,7 +59,10 @@ class Vocabulary:
 
 
 class _Remembering(dict):
-    """Values by key, in two generations: a full one becomes the old one, and what is met again returns."""
+    """Values by key, in two generations: a full one becomes the old one, and what is met again returns.
+
+    Long keys, as texts without blanks make them, are not kept.
+    """
 
     def __init__(self, compute: Callable, most: int = REMEMBERED):
         super().__init__()
@@ -61,6 +72,8 @@ class _Remembering(dict):
         value = self.old.get(key)
         if value is None:
             value = self.compute(key)
+        if len(key) > LONGEST:
+            return value
         if len(self) >= self.most:
             self.old = dict(self)
             self.clear()
@@ -74,6 +87,15 @@ def library_words(v: Vocabulary) -> Callable[[str], list[int]]:
     return lambda word: [t.id for t in tokenize(word)]
 
 
+def _plain_words(text: str) -> list[str] | None:
+    """Words of a text without doubtful characters; None for others."""
+    if text.isascii():
+        return _SPLIT_ASCII.findall(text.lower())
+    if _PLAIN.fullmatch(text):
+        return _SPLIT.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
+    return None
+
+
 class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit bytes.
 
@@ -91,18 +113,17 @@ class Encoder:
 
     def _packed(self, byte_word: str) -> bytes:
         ids = self.word_ids(byte_word)
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else struct.pack(f"<{len(ids)}I", *ids)
 
     def _word(self, word: str) -> bytes:
-        return self._packed(word.encode().decode("latin-1").translate(self.bytes_of))
+        if not (word.isascii() and word.isprintable()):
+            word = word.encode().decode("latin-1").translate(self.bytes_of)
+        return self._packed(word)  # printable ASCII stands for itself
 
     def _run(self, run: str) -> bytes:
-        if run.isascii():
-            low = run.lower()
-            return self.words[low] if low.isalpha() else b"".join([self.words[w] for w in _SPLIT.findall(low)])
-        if _PLAIN.fullmatch(run):
-            low = unicodedata.normalize("NFC", run).replace("Σ", "σ").lower()
-            return b"".join([self.words[w] for w in _SPLIT.findall(low)])
+        words = _plain_words(run)
+        if words is not None:
+            return b"".join(map(self.words.__getitem__, words))
         normal = self.v.library.normalizer.normalize_str(run)
         return b"".join([self._packed(w) for w, _ in self.v.library.pre_tokenizer.pre_tokenize_str(normal)])
 
@@ -114,7 +135,10 @@ class Encoder:
         if any(s in text for s in _SEPARATORS):
             runs = regex.split(r"\s+", text)
             return b"".join([self.runs[r] for r in runs if r])
-        return b"".join(map(self.runs.__getitem__, text.split()))
+        words = _plain_words(text)
+        if words is None:
+            return b"".join(map(self.runs.__getitem__, text.split()))
+        return b"".join(map(self.words.__getitem__, words))
 
     def encode(self, text: str | None) -> bytes:
         if not text:
