@@ -6,6 +6,9 @@ selects just these under its own names; columns of the same names as its results
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -71,6 +74,14 @@ def pieces(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch
         yield batch.slice(start)
 
 
+def _give_back() -> None:
+    """Return what a task has used to the system: workers are reused, and share an executor's memory."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_columns(
     df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict]], schema: str, text: str = "text"
 ) -> DataFrame:
@@ -82,12 +93,16 @@ def map_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
-        for batch in batches:
-            for part in pieces(batch, text):
-                columns = work(part)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(columns[f.name], type=f.type) for f in fields], schema=fields
-                )
+        try:
+            for batch in batches:
+                for part in pieces(batch, text):
+                    columns = work(part)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(columns[f.name], type=f.type) for f in fields], schema=fields
+                    )
+        finally:
+            del work
+            _give_back()
 
     return df.mapInArrow(run, schema)
 
@@ -97,9 +112,13 @@ def keep_rows(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], list]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
-        for batch in batches:
-            for part in pieces(batch, text):
-                yield part.filter(pa.array(work(part), type=pa.bool_()))
+        try:
+            for batch in batches:
+                for part in pieces(batch, text):
+                    yield part.filter(pa.array(work(part), type=pa.bool_()))
+        finally:
+            del work
+            _give_back()
 
     return df.mapInArrow(run, df.schema)
 
