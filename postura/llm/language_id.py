@@ -5,6 +5,11 @@ document is a mixture of languages; expectation-maximisation finds the proportio
 are dropped one by one while the likelihood, less a penalty for each language, does not fall.  The
 prediction is the language with the largest proportion of the remaining set, the score its share.
 
+A text is of one of the learned languages at all if its mixture explains a trigram better, by
+``MARGIN`` bits on average, than a background that holds every trigram for equally likely: nonsense
+and other scripts are not.  The prediction names the nearest language all the same; ``keep_identified``
+keeps by this.  Trigrams that no learning text has are drawn from the background, in a share of ``UNSEEN``.
+
 A null text, or one without a letter, is ``und`` with score 0; so is every document if nothing can
 be learned (an empty table, or no labelled text).  Ties between languages go to the first in
 alphabetical order.  Rows are judged one by one: repeats get equal results, nothing is shuffled but
@@ -33,10 +38,11 @@ OVERLAP = 3
 ITERATIONS, CLOSE = 25, 1e-3
 #: Characters hashed at once, for very long texts.
 CHUNK = 1 << 20
-#: The pipeline keeps a document whose leading language has this share at least.
-LEAST_SHARE = 0.2
+#: Bits a trigram that a document must gain on the background to be kept, and the background's share.
+MARGIN, UNSEEN = 1.0, 0.01
 
 _LETTER = regex.compile(r"\p{L}")
+_SYMBOL = regex.compile(r"[^\p{L}\p{M}\p{N}\s]")
 
 
 class Trigrams:
@@ -60,10 +66,25 @@ class Trigrams:
 
 @dataclass
 class Languages:
-    """``likelihood[bucket, language]``, each row divided by its largest value."""
+    """``likelihood[bucket, language]``, each row divided by its largest value, and these values."""
 
     names: list[str]
     likelihood: np.ndarray
+    largest: np.ndarray | None = None
+
+    def gain(self, counts: np.ndarray, symbols: int = 0) -> float:
+        """Bits a trigram by which the mixture explains a text better than the background; 0 without trigrams.
+
+        Symbols are trigrams that both explain alike.
+        """
+        used = np.flatnonzero(counts)
+        found = dict(self.mixture(counts))
+        if not found:
+            return 0.0
+        share = np.array([found.get(name, 0.0) for name in self.names])
+        largest = np.ones(BUCKETS) if self.largest is None else self.largest
+        explained = (1 - UNSEEN) * (self.likelihood[used] @ share) * largest[used] + UNSEEN / BUCKETS
+        return float(counts[used] @ np.log2(explained * BUCKETS) / (counts[used].sum() + symbols))
 
     def mixture(self, counts: np.ndarray) -> list[tuple[str, float]]:
         """The chosen languages and their proportions, largest first."""
@@ -133,7 +154,8 @@ def learn(docs: DataFrame) -> Languages:
     counts = np.full((BUCKETS, len(names)), SMOOTHING)
     counts[found["bucket"].to_numpy("i8"), found["lang"].map(place).to_numpy("i8")] += found["n"].to_numpy("f8")
     share = counts / counts.sum(axis=0)
-    return Languages(names, share / share.max(axis=1, keepdims=True) if names else share)
+    largest = share.max(axis=1, keepdims=True) if names else np.ones((BUCKETS, 1))
+    return Languages(names, share / largest, largest[:, 0])
 
 
 class Judge:
@@ -145,6 +167,11 @@ class Judge:
             return []
         return self.model.mixture(self.trigrams(text))
 
+    def gain(self, text: str | None) -> float:
+        if text is None or not _LETTER.search(text):
+            return 0.0
+        return self.model.gain(self.trigrams(text), len(_SYMBOL.findall(text)))
+
 
 def predict(docs: DataFrame, model: Languages) -> DataFrame:
     """``doc_id, held_out, lang_pred, score, languages`` of ``docs (doc_id, text)``."""
@@ -173,12 +200,12 @@ def learning_rows(docs: DataFrame) -> DataFrame:
     return docs.filter(held_out(F.col("doc_id")) != 0)
 
 
-def keep_identified(docs: DataFrame, model: Languages, least_share: float = LEAST_SHARE) -> DataFrame:
-    """The rows whose text has a language with at least this share."""
+def keep_identified(docs: DataFrame, model: Languages, margin: float = MARGIN) -> DataFrame:
+    """The rows whose text is of one of the learned languages, or of several."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
         judge = Judge(sent.value)
-        return lambda b: [bool(m) and m[0][1] >= least_share for m in map(judge, b["text"].to_pylist())]
+        return lambda b: [judge.gain(t) >= margin for t in b["text"].to_pylist()]
 
     return keep_rows(docs, make)
