@@ -7,7 +7,7 @@ documents train a linear scorer on hashed words, word beginnings, shapes and vot
 document.  Quality heuristics look at symbols, capitals, repetition, lists and sentence ends; toxicity
 heuristics at words and word beginnings that nearly only toxic rows of ``labels`` use.
 
-Bounds: ``LABELLED`` labelled rows give the word lists, ``TRAINED`` documents train the scorer, and
+Bounds: ``LABELLED`` labelled rows give the word lists, ``TRAINED`` documents at most train the scorer, and
 lists hold ``LISTED`` entries at most.  Votes, patterns and scores cover all documents.
 
 Null text counts as empty.  A text without a word has quality 0 and is not kept.  Without labels no
@@ -316,8 +316,8 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     chance = {p: (0.01, 0.3, 0.95)[min(2, sum(map(int, p)))] for p in by_toxic}
     guess = {p: [1 - x, *(x * (toxic_kind(p) == k) for k in (1, 2))] for p, x in chance.items()}
     bad = {p: 1 - x for p, x in posterior(by_toxic, guess, known=known).items()}
-    # Of documents in hash order, a share that gives about TRAINED rows.
-    share = TRAINED / max(1, sum(by_quality.values()))
+    # The first TRAINED documents in hash order, equal rows once; a share that surely holds them is looked at.
+    share = 2 * TRAINED / max(1, sum(by_quality.values()))
     sent = docs.sparkSession.sparkContext.broadcast(lists)
 
     def make():
@@ -334,9 +334,9 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
 
         return work
 
-    chosen = docs.filter("text is not null").filter(
-        F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(min(1.0, share) * (1 << 20))
-    )
+    turn = F.xxhash64("doc_id", "text")
+    chosen = docs.filter("text is not null").filter(F.pmod(turn, F.lit(1 << 30)) < int(min(1.0, share) * (1 << 30)))
+    chosen = chosen.dropDuplicates(["doc_id", "text"]).orderBy(turn, "doc_id", "text").limit(TRAINED)
     rows = map_columns(chosen, make, "quality string, toxic string, at binary").collect()
     rows.sort(key=lambda r: (r["at"], r["quality"], r["toxic"]))
     x = [np.frombuffer(r["at"], "<i4") for r in rows]
