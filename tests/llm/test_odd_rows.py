@@ -110,12 +110,15 @@ def test_sanitising_leaves_texts_without_entities(odd):
 
 
 def test_pipeline_stages_on_odd_rows(spark, odd, nothing, sf_dir):
-    for docs in (odd, nothing):
+    for docs, n in ((odd, len(ODD)), (nothing, 0)):
         for _, stage in corpus_pipeline.STAGES:
             out = stage(spark, docs, sf_dir)
-            if stage is not corpus_pipeline.pack:
+            count = out.count()
+            if stage is corpus_pipeline.pack:
+                assert count >= n and bool(count) == bool(n)
+            else:
                 assert out.columns == docs.columns
-            assert out.count() >= 0
+                assert count == n if stage is corpus_pipeline.disclose_nothing else min(1, n) <= count <= n
 
 
 def test_pipeline_rejects_rows_without_letters(spark, odd, sf_dir):
