@@ -2,16 +2,22 @@
 
 Public vocabularies show how foreign a text is to them: characters per token (two vocabularies), the
 share of tokens that fall back to single bytes, and the entropy of the text's tokens relative to the
-largest its length allows.  Bands around the quartiles of each language and length class, counted
-over all documents, reject what lies far outside.  A few plain rules come first.
-
-Null text counts as empty: no words, so it fails the plain rules.  Groups of under ``LEAST_DOCS``
-documents have no bands and reject nothing.  Rows are judged one by one, so repeats get equal
-results; an empty table gives an empty result; very long texts are read whole.
+largest its length allows.  Bands around the quartiles of each group of documents, counted over all of
+them, reject what lies outside, by as many interquartile ranges as ``REACH`` allows for each metric on
+either side: text whose words fall into more pieces than its language's do is the commonest junk.  A
+group is a language and length class; one of under ``LEAST_DOCS`` documents takes the bands of the
+language over all lengths, then those of its script, and rejects nothing only where the script is as
+rare.  A few plain rules come first.
+
+Null text counts as empty: no words, so it fails the plain rules.  A null language is its script.  Texts
+of under ``LEAST_TOKENS`` tokens pass, as so few say too little.  Quartiles of ties are their value; a
+value on the edge of a band is inside.  Rows are judged one by one, so repeats get equal results; an
+empty table gives an empty result; very long texts are read whole.  Columns of other names are ignored.
 """
 
 from __future__ import annotations
 
+import re
 import struct
 import unicodedata
 from collections import Counter
@@ -20,31 +26,35 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import sentencepiece
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postura.llm.common import checkpointed, map_columns
+from postura.llm.common import map_columns, stored
 from postura.llm.word_bpe import Encoder, Vocabulary, _Remembering, library_words
 
 PIECE_FILE = "piece_bpe_32k.model"
-#: A language needs this share of all documents for bands of its own, so at most a thousand have them.
-LEAST_SHARE = 0.001
 LEAST_DOCS = 30
-#: Interquartile ranges beyond the quartiles, and the least range as a share of the median.
-REACH, LEAST_RANGE = 4.0, 0.05
+#: Interquartile ranges below and above the quartiles, and the least range as a share of the median.
+REACH = {"piece_chars": (3.0, 4.0), "word_chars_per_token": (2.5, 4.0), "byte_share": (4.0, 4.0), "entropy": (4.0, 4.0)}
+LEAST_RANGE, LEAST_WIDTH = 0.01, 0.005
 #: Below so many tokens a text says too little about its fertility.
 LEAST_TOKENS = 32
-METRICS = ("piece_chars", "word_chars_per_token", "byte_share", "entropy")
+METRICS = tuple(REACH)
 
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 MEASURES = (
     "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-    "language string, size_class int, n_tokens long, piece_chars double, word_chars_per_token double, "
+    "language string, script string, size_class int, n_tokens long, piece_chars double, word_chars_per_token double, "
     "byte_share double, entropy double"
 )
 
 
+#: Characters of which all letters are Latin ones.
+_LATIN = re.compile("[\x00-\xa9\xab-\xb4\xb6-\xb9\xbb-\u024f]*")
+_LETTERS = "etaoinshrdlcumwfgypbvkjxqzETAOINSHRDLCUMWFGYPBVKJXQZ"
+
+
 def repeated_words(words: list[bytes], width: int = 5) -> int:
     """Words in windows of ``width`` words that the list holds twice or more."""
     n = len(words)
@@ -77,6 +87,8 @@ def repeated_lines(text: str) -> int:
 
 def script_of(text: str) -> str:
     """The script of most letters, as the first word of their names; ``none`` without letters."""
+    if _LATIN.fullmatch(text) and any(map(text.__contains__, _LETTERS)):
+        return "LATIN"
     found: Counter[str] = Counter()
     for char, n in Counter(text).items():
         if char.isalpha():
@@ -90,7 +102,7 @@ class Fertility:
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(PIECE_FILE))
         size = self.pieces.get_piece_size()
         self.is_byte = np.array([self.pieces.is_byte(i) for i in range(size)])
-        self.runs = _Remembering(self._run)
+        self.runs = _Remembering(self._run, 250_000)
 
     def _run(self, run: str) -> bytes:
         ids = self.pieces.encode(run)
@@ -99,8 +111,7 @@ class Fertility:
     def __call__(self, text: str, chars: int) -> tuple:
         """Tokens, characters per token by either vocabulary, byte share, relative entropy."""
         ids = np.frombuffer(b"".join(map(self.runs.__getitem__, text.split())), "<u4")
-        # This vocabulary lowers all text itself; lowered first, fewer words are new to the memory.
-        words = len(self.word.encode(text.lower())) // 4
+        words = len(self.word.encode(text)) // 4
         if not len(ids) or not words:
             return len(ids), None, None, None, None
         count = np.bincount(ids)
@@ -130,7 +141,8 @@ def measure(docs: DataFrame) -> DataFrame:
                         sum(map(text.count, SYMBOLS)),
                         repeated_lines(text),
                         repeated_words(words),
-                        lang if lang is not None else f"script {script_of(text)}",
+                        lang if lang is not None else f"script {(script := script_of(text))}",
+                        script if lang is None else script_of(text),
                         min(len(str(n)), 6),
                         n,
                         *metrics,
@@ -145,36 +157,34 @@ def measure(docs: DataFrame) -> DataFrame:
     return map_columns(wanted, make, MEASURES)
 
 
-def bands(measures: DataFrame) -> DataFrame:
-    """``language, size_class`` and each metric's lowest and highest accepted value."""
+def bands(measures: DataFrame, *group: str) -> DataFrame:
+    """``group`` and each metric's lowest and highest accepted value, as ``low_`` and ``high_``."""
     telling = measures.filter(F.col("n_tokens") >= LEAST_TOKENS)
-    total = F.sum("n").over(Window.partitionBy())
-    # Few languages reach the share, so neither this window nor the result grows with the documents.
-    languages = telling.groupBy("language").agg(F.count("*").alias("n")).filter(F.col("n") >= LEAST_DOCS)
-    common = languages.select("language", "n", total.alias("total")).filter(F.col("n") >= LEAST_SHARE * F.col("total"))
-    quartiles = telling.groupBy("language", "size_class").agg(
+    quartiles = telling.groupBy(*group).agg(
         F.count("*").alias("n_docs"),
         *[F.percentile_approx(m, [0.25, 0.5, 0.75], 2000).alias(m) for m in METRICS],
     )
-    wide = quartiles.filter(F.col("n_docs") >= LEAST_DOCS).join(F.broadcast(common.select("language")), "language", "left_semi")
     edges = []
-    for m in METRICS:
+    for m, (below, above) in REACH.items():
         low, mid, high = (F.col(m)[k] for k in range(3))
-        reach = REACH * F.greatest(high - low, LEAST_RANGE * mid, F.lit(0.01))
-        edges += [(low - reach).alias(f"{m}_low"), (high + reach).alias(f"{m}_high")]
-    return wide.select("language", "size_class", *edges)
+        width = F.greatest(high - low, LEAST_RANGE * mid, F.lit(LEAST_WIDTH))
+        edges += [F.struct((low - below * width).alias("low"), (high + above * width).alias("high")).alias(m)]
+    return quartiles.filter(F.col("n_docs") >= LEAST_DOCS).select(*group, F.struct(*edges).alias("band"))
 
 
 def judge(docs: DataFrame) -> DataFrame:
     """The plain measures, ``base_failed``, ``kept``, and the fertility that decided."""
-    measures = checkpointed(measure(docs))
-    limits = checkpointed(bands(measures))
+    measures = stored(measure(docs), "measures")
+    judged, found = measures, []
+    for k, group in enumerate((("language", "size_class"), ("language",), ("script",))):
+        limits = stored(bands(measures, *group), "bands").withColumnRenamed("band", f"band{k}")
+        judged = judged.join(limits, list(group), "left")  # of known size, so Spark chooses how
+        found.append(F.col(f"band{k}"))
+    band = F.coalesce(*found)
     inside = F.lit(True)
     for m in METRICS:
-        inside &= F.coalesce(F.col(m).between(F.col(f"{m}_low"), F.col(f"{m}_high")), F.lit(True))
+        inside &= F.coalesce(F.col(m).between(band[m]["low"], band[m]["high"]), F.lit(True))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    # At most a thousand languages times six length classes.
-    judged = measures.join(F.broadcast(limits), ["language", "size_class"], "left")
     return judged.select(
         "doc_id",
         "n_words",
