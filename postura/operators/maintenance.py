@@ -15,16 +15,26 @@ from pyspark.sql import functions as F
 from postura import schemas
 from postura.operators.matching import expand
 from postura.operators.rollups import summarise
+from postura.operators.sizing import local_table
+
+# Keys of a run that are looked up before its rows are replaced.
+FEW_KEYS = 10_000
 
 
 def replace_keys(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``old`` whose keys do not occur in ``new``.
 
-    Spark decides by the size of the keys how the anti join runs; give ``new`` as small
-    and as finished as it is at hand (a roll-up, a stored run), since it is computed for
-    its keys and again for its rows.
+    Few keys, as of metrics, would gather all of ``old`` in as many tasks if it were dealt by
+    them: ``FEW_KEYS`` at most are looked up at once and become a table of known size, so ``old``
+    stays where it is.  Of more keys Spark decides by their size how the anti join runs.  Give
+    ``new`` as small and as finished as it is at hand (a roll-up, a stored run), since it is
+    computed for its keys and again for its rows.
     """
-    return old.join(new.select(*keys).distinct(), list(keys), "left_anti")
+    found = new.select(*keys).distinct()
+    few = found.limit(FEW_KEYS + 1).collect()
+    if len(few) <= FEW_KEYS:
+        found = local_table(old.sparkSession, [r.asDict() for r in few], found.schema)
+    return old.join(found, list(keys), "left_anti")
 
 
 def upsert_summary(old: DataFrame, run_detail: DataFrame) -> DataFrame:

@@ -2,7 +2,10 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from postura import schemas
+from postura.operators import maintenance
 from postura.operators.maintenance import redact, replace_keys, union_metrics, upsert_detail, upsert_summary
 from postura.operators.rollups import summarise
 from postura.operators.sizing import local_table
@@ -45,6 +48,23 @@ def test_null_keys_are_never_replaced(spark):
     assert rows(replace_keys(old, new, ["metric_id"]), "v") == [(2,)]
 
 
+def test_few_keys_leave_the_old_rows_where_they_are(spark):
+    """Two metrics' rows are not gathered in two tasks, though the run they come from is large."""
+    run = spark.range(100_000).select((F.col("id") % 2).cast("string").alias("metric_id"))
+    old = spark.range(300).select((F.col("id") % 3).cast("string").alias("metric_id"), "id")
+    kept = replace_keys(old, run.repartition("metric_id"), ["metric_id"])
+    plan = kept._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "LocalTableScan" in plan
+    assert rows(kept, "id") == sorted(((k,) for k in range(2, 300, 3)), key=str)
+
+
+def test_many_keys_are_joined(spark, monkeypatch):
+    monkeypatch.setattr(maintenance, "FEW_KEYS", 1)
+    run = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "metric_id string")
+    old = spark.createDataFrame([("a", 1), ("c", 2), ("c", 2), (None, 3)], "metric_id string, v int")
+    assert rows(replace_keys(old, run, ["metric_id"]), "v") == [(2,), (2,), (3,)]
+
+
 def test_local_tables_have_a_known_size(spark):
     made = local_table(spark, [{"metric_id": "m", "slo": 0.5}], schemas.LIBRARY)
     assert "LocalRelation" in made._jdf.queryExecution().optimizedPlan().toString()
