@@ -6,9 +6,10 @@ each, the others share one, in which a token has its share of the class's count.
 and only the last ``STRIDE`` places of each are scored, so every token is scored once with at least
 ``WIDTH - STRIDE`` tokens of context.
 
-Word counts, and from them token counts, come from all learning documents.  Each learning document
-also gives training windows, one for every ``WORDS_A_WINDOW`` words and at least one, so training
-grows with the corpus; tasks train on their own windows, and parameters are averaged each round.
+Word counts, and from them token counts, come from all learning documents, and the model learns from
+every token of them: each learning text is cut into windows as it is for scoring, and every window is
+learned from once, a part of them in each round.  Tasks train on their own texts, and parameters are
+averaged after each round.
 
 The plain word score needs counts of words whose number grows with the corpus: words common enough
 that at most ``HEAD`` are, are broadcast; the rarer ones are joined.
@@ -22,7 +23,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -37,15 +38,16 @@ from postura.llm.word_bpe import FILE, Encoder, Vocabulary, library_words
 
 WIDTH, STRIDE = 32, 24
 CLASSES, SEEN, DEPTH = 128, 2048, 16
-ROUNDS, BATCH, STEP = 3, 32, 0.01
-WORDS_A_WINDOW = 1024
+ROUNDS, BATCH, STEP = 3, 128, 0.01
 HEAD = 1 << 18
 #: Not a word, as it is white space: stands for the end of a document.
 END_KEY = " "
 #: Windows computed at once.
 AT_ONCE = 128
+#: Bytes of ids that a task holds before it passes them on.
+HELD = 8 << 20
 
-GATHERED = "word string, n long, window binary"
+GATHERED = "word string, n long, ids binary"
 SCORED = (
     "row long, doc_id long, held_out boolean, n_tokens long, n_known long, head double, score double, "
     "word string, n long"
@@ -80,52 +82,50 @@ class Ids:
         return np.frombuffer(self.encoder.encode(text), "<u4").astype(np.int64)
 
 
-def training_windows(ids: Ids, text: str, words: list[bytes]) -> list[bytes]:
-    """``WIDTH + 1`` ids from places spread over the text."""
-    out = []
-    count = max(1, len(words) // WORDS_A_WINDOW)
-    for k in range(count):
-        low, high = k * len(words) // count, (k + 1) * len(words) // count
-        at = low + zlib.crc32(f"{k} {text[:64]}".encode()) % max(1, high - low)
-        found = ids(b" ".join(words[at : at + WIDTH + 1]).decode())
-        if at + WIDTH + 1 >= len(words):
-            found = np.r_[found, ids.end]
-        before = np.full(WIDTH + 1, ids.start)
-        found = np.r_[before[: WIDTH - STRIDE + 1] if at == 0 else before[:0], found][: WIDTH + 1]
-        out.append(np.r_[before[: WIDTH + 1 - len(found)], found].astype("<u4").tobytes())
-    return out
+def training_windows(ids: np.ndarray, start: int, end: int, turn: int = 0, turns: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """Every ``turns``-th window of a text, ``WIDTH + 1`` ids each, and how many of its last ``STRIDE`` are the text's.
+
+    All turns together have each token, and the end, as a target once.
+    """
+    lead, n = WIDTH - STRIDE + 1, len(ids) + 1
+    blocks = -(-n // STRIDE)
+    line = np.full(blocks * STRIDE + lead, start)
+    line[lead : lead + n - 1] = ids
+    line[lead + n - 1] = end
+    at = STRIDE * np.arange(turn, blocks, turns)
+    return line[at[:, None] + np.arange(WIDTH + 1)], np.minimum(n - at, STRIDE)
 
 
 def gather(docs: DataFrame) -> DataFrame:
-    """``GATHERED`` of learning documents: partial word counts, and training windows."""
+    """``GATHERED`` of learning documents: partial word counts, and the ids of each whole text, of two bytes."""
     fields = to_arrow_schema(struct_type(GATHERED))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, counts, windows = Ids(), Counter(), []
+        ids, counts, texts = Ids(), Counter(), []
 
         def flush() -> pa.RecordBatch:
             words = [w.decode() for w in counts]
-            empty = [None] * len(windows)
+            empty = [None] * len(texts)
             out = pa.RecordBatch.from_arrays(
                 [
                     pa.array(words + empty, pa.string()),
                     pa.array([*counts.values(), *empty], pa.int64()),
-                    pa.array([None] * len(words) + windows, pa.binary()),
+                    pa.array([None] * len(words) + texts, pa.binary()),
                 ],
                 schema=fields,
             )
             counts.clear()
-            windows.clear()
+            texts.clear()
             return out
 
         for batch in batches:
             for part in pieces(batch):
                 for text in part["text"].to_pylist():
-                    words = text.encode().lower().split()
-                    counts.update(words)
+                    low = text.encode().lower()
+                    counts.update(low.split())
                     counts[END_KEY.encode()] += 1
-                    windows.extend(training_windows(ids, text, words))
-                if len(counts) > 200_000:
+                    texts.append(ids(low.decode()).astype("<u2").tobytes())
+                if len(counts) > 200_000 or sum(map(len, texts)) > HELD:
                     yield flush()
         if counts:
             yield flush()
@@ -157,6 +157,20 @@ def token_counts(words: DataFrame) -> np.ndarray:
     return out
 
 
+class _Adam:
+    """Parameters on their way, and the moments of their gradients."""
+
+    def __init__(self, flat: np.ndarray):
+        self.flat, self.steps = flat.copy(), 0
+        self.first, self.second = np.zeros_like(flat), np.zeros_like(flat)
+
+    def step(self, g: np.ndarray) -> None:
+        self.steps += 1
+        self.first += 0.1 * (g - self.first)
+        self.second += 0.01 * (g * g - self.second)
+        self.flat -= STEP * (self.first / (1 - 0.9**self.steps)) / (np.sqrt(self.second / (1 - 0.99**self.steps)) + 1e-6)
+
+
 class Model:
     """Parameters as one flat vector, with views by name."""
 
@@ -213,12 +227,14 @@ class Model:
         return logits, h, key, value, query, weight, mixed
 
     def slope(self, p: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """Gradient of the mean cross-entropy of classes ``y`` at the last places of ``x``."""
+        """Gradient of the mean cross-entropy of classes ``y`` at the last places of ``x``; negative ones do not count."""
         logits, h, key, value, query, weight, mixed = self.forward(p, x)
         d = np.exp(logits - logits.max(1, keepdims=True))
         d /= d.sum(1, keepdims=True)
         d[np.arange(len(d)), y.ravel()] -= 1
-        d /= len(d)
+        counted = y.ravel() >= 0
+        d[~counted] = 0
+        d /= max(1, counted.sum())
         flat = np.zeros_like(self.flat)
         g = self.views(flat)
         g["out"][:] = mixed.reshape(-1, DEPTH).T @ d
@@ -234,21 +250,41 @@ class Model:
         dh = (dk @ p["key"].T + dv @ p["value"].T).reshape(h.shape)
         dh[:, WIDTH - STRIDE :] += (dq @ p["query"].T).reshape(dm.shape) + dm
         g["place"][:] = dh.sum(0)
-        np.add.at(g["see"], x.ravel(), dh.reshape(-1, DEPTH))
+        places = x.reshape(-1, 1) * DEPTH + np.arange(DEPTH)
+        g["see"][:] = np.bincount(places.ravel(), weights=dh.ravel(), minlength=SEEN * DEPTH).reshape(SEEN, DEPTH)
         return flat
 
     def trained(self, flat: np.ndarray, windows: np.ndarray) -> np.ndarray:
         """Parameters after one pass of Adam steps over windows of ids."""
-        flat = flat.copy()
-        p = self.views(flat)
-        first, second = np.zeros_like(flat), np.zeros_like(flat)
-        for k, at in enumerate(range(0, len(windows), BATCH), 1):
+        adam = _Adam(flat)
+        for at in range(0, len(windows), BATCH):
             some = windows[at : at + BATCH]
-            g = self.slope(p, self.seen_as[some[:, :-1]], self.class_of[some[:, WIDTH - STRIDE + 1 :]])
-            first += 0.1 * (g - first)
-            second += 0.01 * (g * g - second)
-            flat -= STEP * (first / (1 - 0.9**k)) / (np.sqrt(second / (1 - 0.99**k)) + 1e-6)
-        return flat
+            self._step(adam, some, np.full(len(some), STRIDE))
+        return adam.flat
+
+    def _step(self, adam: _Adam, some: np.ndarray, own: np.ndarray) -> None:
+        """A step on windows, of each of which ``own`` of the last places count."""
+        y = np.where(np.arange(STRIDE) < own[:, None], self.class_of[some[:, WIDTH - STRIDE + 1 :]], -1)
+        adam.step(self.slope(self.views(adam.flat), self.seen_as[some[:, :-1]], y))
+
+    def learned(self, texts: Iterable[np.ndarray], start: int, end: int, turn: int = 0) -> tuple[np.ndarray, int]:
+        """Parameters after one of ``ROUNDS`` parts of the windows of ``texts``, and how many these are."""
+        adam, windows = _Adam(self.flat), 0
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        waiting = 0
+        for ids in texts:
+            # Short texts have one window: their own ids say whose turn they are.
+            held.append(training_windows(ids, start, end, (turn + zlib.crc32(ids.tobytes())) % ROUNDS, ROUNDS))
+            windows, waiting = windows + len(held[-1][1]), waiting + len(held[-1][1])
+            if waiting >= BATCH:
+                some, own = (np.concatenate(x) for x in zip(*held, strict=True))
+                whole = waiting // BATCH * BATCH
+                for at in range(0, whole, BATCH):
+                    self._step(adam, some[at : at + BATCH], own[at : at + BATCH])
+                held, waiting = [(some[whole:], own[whole:])], waiting - whole
+        if waiting:
+            self._step(adam, *(np.concatenate(x) for x in zip(*held, strict=True)))
+        return adam.flat, windows
 
     def log10(self, texts: list[np.ndarray], start: int, end: int) -> list[float]:
         """The log10 probability of each text of ids and its end."""
@@ -279,19 +315,16 @@ class Model:
         return (total / np.log(10)).tolist()
 
 
-def train(model: Model, windows: DataFrame, rounds: int = ROUNDS) -> Model:
-    """Rounds of local training on each task's windows, and averaging weighted by windows."""
-    spark = windows.sparkSession
+def train(model: Model, texts: DataFrame, start: int, end: int, rounds: int = ROUNDS) -> Model:
+    """Rounds of local training on the ``ids`` of each task's texts, and averaging weighted by windows."""
+    spark = texts.sparkSession
     schema = "part int, weight double, flat binary"
-    for _ in range(rounds):
+    for turn in range(rounds):
         sent = spark.sparkContext.broadcast(model)
 
-        def local(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            flat, n = sent.value.flat, 0
-            for batch in batches:
-                if batch.num_rows:
-                    held = np.frombuffer(b"".join(batch["window"].to_pylist()), "<u4").reshape(-1, WIDTH + 1)
-                    flat, n = sent.value.trained(flat, held.astype(np.int64)), n + len(held)
+        def local(batches: Iterator[pa.RecordBatch], sent=sent, turn=turn) -> Iterator[pa.RecordBatch]:
+            found = (np.frombuffer(x.as_buffer(), "<u2") for batch in batches for x in batch["ids"])
+            flat, n = sent.value.learned(found, start, end, turn)
             if n:
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -309,9 +342,9 @@ def train(model: Model, windows: DataFrame, rounds: int = ROUNDS) -> Model:
             )
 
         # At most 32 sums reach the driver, however many tasks there are.
-        found = windows.mapInArrow(local, schema).groupBy("part").applyInPandas(added, schema).toPandas()
+        found = texts.mapInArrow(local, schema).groupBy("part").applyInPandas(added, schema).toPandas()
         if not len(found):
-            break
+            continue
         found = found.sort_values("part")
         model.flat = (sum(np.frombuffer(x) for x in found["flat"]) / found["weight"].sum()).astype("f4")
     return model
@@ -328,7 +361,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     )
     learned, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     model = Model(token_counts(words))
-    model = train(model, gathered.filter("window is not null").select("window"))
+    start, end = sorted(Vocabulary(FILE).special.values())
+    model = train(model, gathered.filter("ids is not null").select("ids"), start, end)
 
     # Counts by quarter octave: the lowest count that leaves at most HEAD words above it.
     octaves = words.groupBy(F.floor(4 * F.log2("n")).alias("o")).agg(F.count("*").alias("k"), F.min("n").alias("low"))

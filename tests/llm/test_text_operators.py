@@ -243,3 +243,27 @@ def test_lm_learns(model):
     better = sum(model.log10(list(windows[:20]), 49406, 49407))
     model.flat = scored
     assert before > 0 and better > sum(model.log10(list(windows[:20]), 49406, 49407))
+
+
+@pytest.mark.parametrize("size", [0, 1, 23, 24, 100, 5000])
+def test_lm_learns_from_every_token_once(size):
+    """Not from a window for every thousand words: each token of a text, and its end, is a target in one round."""
+    ids = np.random.default_rng(size).integers(0, 400, size)
+    targets = []
+    for turn in range(attention_lm.ROUNDS):
+        windows, own = attention_lm.training_windows(ids, 49406, 49407, turn, attention_lm.ROUNDS)
+        assert windows.shape[1:] == (attention_lm.WIDTH + 1,)
+        for window, n in zip(windows, own, strict=True):
+            targets += window[attention_lm.WIDTH - attention_lm.STRIDE + 1 :][:n].tolist()
+    assert sorted(targets) == sorted([*ids.tolist(), 49407])
+
+
+def test_lm_places_after_the_end_do_not_count(model):
+    windows, own = attention_lm.training_windows(np.arange(5), 49406, 49407)
+    y = np.where(np.arange(attention_lm.STRIDE) < own[:, None], model.class_of[windows[:, 9:]], -1)
+    other = np.where(y < 0, -1, y)
+    p = model.views(model.flat)
+    whole = model.slope(p, model.seen_as[windows[:, :-1]], y)
+    changed = windows.copy()
+    changed[0, 9 + 6 :] = 7  # what follows the end
+    assert np.allclose(whole, model.slope(p, model.seen_as[changed[:, :-1]], other), atol=1e-6)
