@@ -209,6 +209,16 @@ def test_publish_twice_on_one_day_and_again_the_next(spark, tables):
     assert "redacted" not in {r[0] for r in rows(store.read_detail(spark), "resource")}
 
 
+def test_published_detail_is_compressed(spark, tables):
+    """Redacted rows are mostly alike, and there are as many as of the detail."""
+    store = Store(scratch_path(spark, "store"))
+    publish(run_metrics([GOOD], tables, AS_OF, scratch_path(spark, "staging")), store, AS_OF)
+    published = spark.read.option("header", True).csv(store.detail_csv)
+    assert published.inputFiles() and all(f.endswith(".csv.gz") for f in published.inputFiles())
+    assert published.count() == store.read_detail(spark).count()
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"  # as it was
+
+
 def test_contract_and_metadata_errors(spark):
     with pytest.raises(runner.ContractError, match="compliance"):
         runner.check_contract(spark.range(1).select(F.lit(1).alias("resource")))
