@@ -25,7 +25,9 @@ from pyspark.sql.streaming import StreamingQuery
 from postura import schemas
 from postura.operators.rollups import summarise
 from postura.plans.publish import Store
+from postura.session import scratch_path
 from postura.sources.library import MetricDefinition
+from postura.sources.paths import delete
 from postura.sources.raw import RawTables, land_arriving, latest_snapshot
 from postura.sources.tables import replace_partitions
 from postura.streaming.differences import Maintained
@@ -99,8 +101,12 @@ def stream_metrics(
         arriving = arriving.withColumn(_FILE, F.lit(None).cast("string"))
 
     def update(batch: DataFrame, batch_id: int) -> None:
-        land_arriving(batch, root, tag, file=_FILE)
+        # Landing reads its rows more than once: they are parsed once.
+        parsed = scratch_path(spark, "arriving")
+        batch.write.parquet(parsed)
+        land_arriving(batch.sparkSession.read.schema(batch.schema).parquet(parsed), root, tag, file=_FILE)
         Maintained(spark, tag, definitions, tables, as_of, root, store, assets).update()
+        delete(spark, parsed)
 
     return (
         arriving.writeStream.option("checkpointLocation", checkpoint)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +22,8 @@ from postura.workload.fixtures import AS_OF, YEAR_END, Fixtures
 from postura.workload.registry import query
 
 UNITS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
+# Rows of a delivered file, about; a compressed one is read by one task.
+FILE_ROWS = 500_000
 
 
 def rounded(df: DataFrame, *columns: str) -> DataFrame:
@@ -548,6 +552,19 @@ def metrics_page(f: Fixtures):
 # --- streaming -------------------------------------------------------------------------
 
 
+def deliver_json(rows: DataFrame, path: str) -> None:
+    """Put records among those delivered, as compressed files: repeated names and values take little room."""
+    rows.write.mode("append").option("compression", "gzip").json(path)
+
+
+def in_files(rows: DataFrame, most: int) -> DataFrame:
+    """``rows``, of which there are ``most``, in files of about ``FILE_ROWS``.
+
+    The rows alone decide on the file, so what is delivered again comes in the same files.
+    """
+    return rows.repartition(math.ceil(most / FILE_ROWS) or 1, *rows.columns)
+
+
 class _Stream:
     """A folder rows are delivered to, and the summary log streamed from it."""
 
@@ -558,7 +575,7 @@ class _Stream:
         self.checkpoint = scratch_path(f.spark, "stream_state")
 
     def deliver(self, rows: DataFrame, files_per_batch: int | None = None) -> None:
-        rows.write.mode("append").json(self.landed)
+        deliver_json(rows, self.landed)
         arriving = streaming.stream_rows(self.spark, self.landed, files_per_batch=files_per_batch)
         streaming.stream_publish(arriving, self.log, self.checkpoint).awaitTermination()
 
@@ -579,7 +596,8 @@ def stream_upsert(f: Fixtures):
 def stream_sum(f: Fixtures):
     """Metric-days spread over files and batches: partial sums are added up."""
     stream = _Stream(f)
-    stream.deliver(f.detail.repartition("resource"), files_per_batch=2)
+    at_once = max(2, f.spark.sparkContext.defaultParallelism)  # a compressed file is one task
+    stream.deliver(f.detail.repartition("resource"), files_per_batch=at_once)
     return streaming.accumulated_summary(f.spark, stream.log)
 
 
@@ -591,7 +609,7 @@ def _stream_raw(
     store = store or Store(scratch_path(f.spark, "stream_store"))
     metrics = [d for d in shipped_metrics() if d.metric_id in metric_ids]
     for rows in deliveries:
-        rows.write.mode("append").json(landed)
+        deliver_json(rows, landed)
         arriving = streaming.stream_rows(f.spark, landed, schemas.RAW[tag])
         streaming.stream_metrics(
             arriving, tag, metrics, f.raw, AS_OF, root, store, state, f.assets
@@ -628,7 +646,8 @@ def stream_split_upload(f: Fixtures):
         wrong, other.filter(half), newer.filter(half), other.filter(~half), newer.filter(~half),
         other.filter(half), wrong.filter(half), newer.filter(half),
     ]
-    return _stream_raw(f, "okta_users", [d.coalesce(1) for d in deliveries], set(USER_METRICS))
+    most = f.table("customer").count()
+    return _stream_raw(f, "okta_users", [in_files(d, most) for d in deliveries], set(USER_METRICS))
 
 
 @query("stream_findings_run", "select * from m_summary where metric_id like 'vulnerabilities%'")
@@ -652,17 +671,21 @@ def stream_findings_changes(f: Fixtures):
     closed = one.withColumn("status", F.when(odd, "open").otherwise("closed"))
     deliveries = [closed, other.filter(odd), newer.filter(odd), other.filter(~odd), newer.filter(~odd), closed]
     metrics = {d.metric_id for d in shipped_metrics() if d.family}
-    return _stream_raw(f, "crowdstrike_vulnerabilities", [d.coalesce(1) for d in deliveries], metrics)
+    most = f.table("orders").count()
+    return _stream_raw(f, "crowdstrike_vulnerabilities", [in_files(d, most) for d in deliveries], metrics)
 
 
 @query("stream_issues_and_trainings", "select * from m_summary where metric_id in ('development_vulnerabilities', 'user_awareness')")
 def stream_issues_and_trainings(f: Fixtures):
     """Two streams into one store, each keeping its own metric up to date."""
     half = F.crc32(F.col("completion_date").cast("binary")) % 2 == 0
-    trainings = with_lineage(f.enrollments, "t0", FIRST, "upload-1").coalesce(1)
-    issues = with_lineage(f.issues, "t0", FIRST, "upload-1").coalesce(1)
+    trainings = with_lineage(f.enrollments, "t0", FIRST, "upload-1")
+    issues = with_lineage(f.issues, "t0", FIRST, "upload-1")
     wrong = issues.withColumn("attributes", F.col("attributes").withField("status", F.lit("open")))
     right = issues.withColumn("_upload_timestamp", F.lit(SECOND).cast("timestamp"))
     store = Store(scratch_path(f.spark, "stream_store"))
-    _stream_raw(f, "snyk_issues", [wrong, right], {"development_vulnerabilities"}, store)
-    return _stream_raw(f, "knowbe4_enrollments", [trainings.filter(half), trainings.filter(~half)], {"user_awareness"}, store)
+    most = f.table("lineitem").count()
+    _stream_raw(f, "snyk_issues", [in_files(d, most) for d in (wrong, right)], {"development_vulnerabilities"}, store)
+    most = f.table("orders").count()
+    halves = [in_files(trainings.filter(h), most) for h in (half, ~half)]
+    return _stream_raw(f, "knowbe4_enrollments", halves, {"user_awareness"}, store)

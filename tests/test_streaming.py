@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from postura.operators.rollups import summarise
 from postura.streaming.publish import (
@@ -11,6 +12,7 @@ from postura.streaming.publish import (
     stream_publish,
     stream_rows,
 )
+from postura.workload import report_queries
 from tests.conftest import rows
 from tests.test_tables import detail
 
@@ -64,3 +66,20 @@ def test_replayed_batch_overwrites_itself(spark, places, tmp_path):
     again = {**places, "state": str(tmp_path / "other state")}
     run(spark, again)
     assert rows(accumulated_summary(spark, places["log"]), "totalok", "total") == [(1.0, 1)]
+
+
+def test_deliveries_come_in_several_files_and_in_the_same_again(spark, tmp_path, monkeypatch):
+    """A delivery is not one file of one task, however large; its files are compressed."""
+    monkeypatch.setattr(report_queries, "FILE_ROWS", 100)
+    users = spark.range(1000).select(F.struct(F.col("id").alias("login")).alias("profile"), F.lit("x").alias("status"))
+
+    def files(rows_in, name):
+        report_queries.deliver_json(report_queries.in_files(rows_in, 1000), str(tmp_path / name))
+        found = spark.read.json(str(tmp_path / name))
+        assert all(f.endswith(".json.gz") for f in found.inputFiles())
+        by_file = found.groupBy(F.input_file_name()).agg(F.sort_array(F.collect_list("profile.login")).alias("rows"))
+        return sorted(r["rows"] for r in by_file.collect())
+
+    once = files(users, "once")
+    assert len(once) == 10 and max(map(len, once)) < 200 and sum(map(len, once)) == 1000
+    assert files(users.repartition(3), "again") == once
