@@ -6,19 +6,18 @@ band share a bucket.  Since the order counts, buckets are sensitive to edits and
 common words.
 
 Equal texts are folded first.  In a bucket of ``BLOCK`` texts at most, a maximum spanning forest over
-estimated likeness names the first pairs to verify.  Afterwards, where a bucket still holds several
-classes, the likeliest untested pairs of any two of them are verified, until no pair of different
-classes worth it is left.
-
-A larger bucket is never paired with itself.  Its most central member, found among blocks of its
-members, represents it: every member is weighed against that one, which joins a group of copies, however
-large, with a pair each.  Where such a bucket still holds several classes, its texts are dealt anew by
-longer keys with other seeds (``LEVELS``): each level adds minima, so texts that are less alike part, and
-has more bands, so that like ones meet.  What is still larger at the last level is weighed against
-representatives of its classes, some of them in each round, until every class has had one; each is tried
-with the likeliest member of every other class.  So the work grows with the members and the classes of
-a bucket, never with its square; members of different classes that no small bucket brings together
-meet through these representatives alone.
+likeness as bounded below names the first pairs to verify.  A larger bucket is never paired with
+itself: its most central member, found among blocks of its members, represents it, and every member is
+weighed against that one.  So a group of copies, however large, becomes a class with a pair each.
+
+What buckets miss is found exactly.  In one order of all shingles, the same for every text, two texts
+alike by ``least`` have a shingle in common among the first ``n - ceil(least * n) + 1`` of each.  The
+order puts shingles last that many texts share, as told by a bounded sample, which decides on the time
+alone.  Texts that meet in such a shingle and are of different classes are paired, block by block where
+they are many: first the likeliest pair of any two classes, then, of classes still apart, all pairs.
+Only pairs that cannot be alike go unverified: shingles are counted by their last byte, and the sum of
+the lesser counts bounds what two texts have in common.  So every link between classes is found.  The
+work grows with the members of a class; pairs of texts of one template, none alike, are weighed all.
 
 A pair is verified on its whole texts.  Labelled shingles are distinct, so the longest common
 subsequence is the longest rising run of positions; the band is the shift that the asked likeness
@@ -32,8 +31,9 @@ id is named by a hash of its text.  An empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -47,31 +47,25 @@ from postura.llm.word_bpe import _Remembering
 
 WIDTH, LEAST = 5, 0.8
 BANDS, KEPT = 12, 2
-#: Bytes of the signature that estimates likeness, and the least estimate worth verifying, three
-#: standard deviations below ``LEAST``: of links just at it one in a thousand is missed, of others fewer.  So many bytes tell the original of a group from its copies,
-#: which a short signature often equates.
-SIGNATURE, WORTH = 256, 0.72
+#: Bytes of the signature that estimates likeness.
+SIGNATURE = 256
+#: Bins of the counts that bound what two texts have in common, and the count of a bin that says nothing.
+BINS, FULL = 256, 255
 BLOCK = 192
-#: Bands and minima of the levels that large buckets are dealt into.
-LEVELS = ((16, 4), (40, 10))
-#: Representatives that a bucket of the last level is weighed against in a round.
-REPRESENTATIVES = 32
-#: Pairs of two classes that a block or two verify in the first round after the forest, and the growth by round.
-LEAD, GROWTH = 1, 64
+#: Texts of a block where all of a bucket meet.
+GRID = 2048
+#: Texts of the sample that tells common shingles, the fewest of them that make one, and how many are kept.
+SAMPLED, OFTEN, COMMON = 8192, 3, 1 << 16
 #: Shingles hashed at once, for very long texts.
 CHUNK = 1 << 14
 
-SKETCH = "ref long, text_key string, n_shingles long, keys array<long>, signature binary"
-PROPOSED = "key long, a string, b string, central double, signature binary"
-KEYED = "key long, text_key string"
-OFFERED = "a string, b string, more boolean"
+SKETCH = "ref long, text_key string, n long, keys array<long>, prefix array<long>, spread binary"
+PROPOSED = "key long, a long, b long, central double, n long, spread binary"
 
 _ODD = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD]
 _rng = np.random.default_rng(20)
 _BAND_SEEDS = _rng.integers(1, 1 << 63, BANDS, dtype=np.uint64)
 _SIGN_SEEDS = _rng.integers(1, 1 << 63, SIGNATURE, dtype=np.uint64)
-#: Which minima of the signature make up each key of a level.
-_PLACES = [np.stack([_rng.permutation(SIGNATURE)[:kept] for _ in range(bands)]) for bands, kept in LEVELS]
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -152,7 +146,63 @@ def ordered_likeness(a: np.ndarray, b: np.ndarray, least: float = LEAST) -> floa
     return kept / (n + m - kept)
 
 
-def sketches(docs: DataFrame) -> DataFrame:
+def prefix(shingles: np.ndarray, common: np.ndarray, shared: np.ndarray, least: float = LEAST) -> np.ndarray:
+    """The first shingles in the order of all: rare ones by value, then the ``common`` by how many texts share them.
+
+    ``common`` is sorted; ``shared`` has the texts of each.
+    """
+    n = len(shingles)
+    wanted = n - math.ceil(least * n - 1e-9) + 1
+    if wanted >= n:
+        return shingles
+    if len(common):
+        at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
+        often = np.where(common[at] == shingles, shared[at], 0)
+        if often.any():
+            return shingles[np.lexsort((shingles, often))[:wanted]]
+    return np.partition(shingles, wanted - 1)[:wanted]
+
+
+def spread(shingles: np.ndarray) -> bytes:
+    """Shingles counted by their last byte; all ``FULL`` where a count is too large."""
+    counts = np.bincount((shingles & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS)
+    return (counts if counts.max() < FULL else np.full(BINS, FULL)).astype(np.uint8).tobytes()
+
+
+def likest(n: np.ndarray, counts: np.ndarray, m: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Upper bounds of the likeness of texts with ``n`` and ``m`` shingles and such counts."""
+    most = np.minimum(n, m)
+    both = np.minimum(counts, other).sum(axis=-1, dtype=np.int64)
+    unknown = (counts[..., 0] == FULL) | (other[..., 0] == FULL)
+    both = np.where(unknown, most, np.minimum(both, most))
+    return both / (n + m - both)
+
+
+def common_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that texts of a bounded sample share, sorted, and how many of them do."""
+    every = max(1, math.ceil(docs.count() / SAMPLED))
+    some = docs.filter(F.pmod(F.xxhash64("text_key"), F.lit(every)) == 0).dropDuplicates(["text_key"])
+
+    def make():
+        shingle = Shingles()
+
+        def work(b: pa.RecordBatch) -> dict:
+            found = [shingle(t) for t in b["text"].to_pylist()]
+            return {"shingle": np.concatenate(found).astype("i8") if found else []}
+
+        return work
+
+    found = map_columns(some.select("text"), make, "shingle long").groupBy("shingle").agg(F.count("*").alias("n"))
+    found = found.filter(F.col("n") >= OFTEN).orderBy(F.desc("n"), "shingle").limit(COMMON).toPandas()
+    common, shared = found["shingle"].to_numpy("i8").astype(np.uint64), found["n"].to_numpy("i8")
+    order = np.argsort(common)
+    return common[order], shared[order]
+
+
+def sketches(docs: DataFrame, common: tuple[np.ndarray, np.ndarray], least: float = LEAST) -> DataFrame:
+    """``SKETCH`` of each row, and ``node``, a number for its text."""
+    sent = docs.sparkSession.sparkContext.broadcast(common)  # COMMON shingles at most
+
     def make():
         shingle = Shingles()
 
@@ -161,14 +211,16 @@ def sketches(docs: DataFrame) -> DataFrame:
             return {
                 "ref": b["ref"],
                 "text_key": b["text_key"],
-                "n_shingles": [len(s) for s in found],
+                "n": [len(s) for s in found],
                 "keys": [band_keys(s) if len(s) else [] for s in found],
-                "signature": [signature(s) if len(s) else b"" for s in found],
+                "prefix": [prefix(s, *sent.value, least).astype("i8") for s in found],
+                "spread": [spread(s) for s in found],
             }
 
         return work
 
-    return map_columns(docs, make, SKETCH)
+    made = map_columns(docs.select("ref", "text_key", "text"), make, SKETCH)
+    return made.withColumn("node", F.xxhash64("text_key"))
 
 
 def with_keys(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -177,209 +229,164 @@ def with_keys(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return rows.select("doc_id", F.coalesce("doc_id", F.xxhash64("text")).alias("ref"), F.md5(F.col("text").cast("binary")).alias("text_key"), "text")
 
 
-def _forest(keys: list[str], signs: np.ndarray) -> list[tuple[str, str]]:
-    """Edges of a maximum spanning forest over estimates worth verifying."""
-    n = len(keys)
-    alike = np.empty((n, n))
-    for k in range(n):
-        alike[k] = (signs == signs[k]).mean(axis=1)
-    edges, best, parent = [], alike[0].copy(), np.zeros(n, int)
-    outside = np.ones(n, bool)
+def _counts(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles and spread of rows that end in them."""
+    n = np.array([r[-2] for r in rows], np.int64)
+    return n, np.frombuffer(b"".join(r[-1] for r in rows), np.uint8).reshape(len(rows), BINS)
+
+
+def _forest(rows: list[tuple], least: float) -> list[tuple[int, int]]:
+    """Edges of a maximum spanning forest over bounds of likeness."""
+    n, counts = _counts(rows)
+    alike = np.array([likest(n, counts, n[k], counts[k]) for k in range(len(rows))])
+    edges, best, parent = [], alike[0].copy(), np.zeros(len(rows), int)
+    outside = np.ones(len(rows), bool)
     outside[0] = False
-    for _ in range(n - 1):
+    for _ in range(len(rows) - 1):
         k = int(np.argmax(np.where(outside, best, -1.0)))
         outside[k] = False
-        if best[k] >= WORTH:
-            edges.append((min(keys[k], keys[parent[k]]), max(keys[k], keys[parent[k]])))
+        if best[k] >= least:
+            a, b = rows[k][0], rows[parent[k]][0]
+            edges.append((min(a, b), max(a, b)))
         closer = alike[k] > best
         best[closer], parent[closer] = alike[k][closer], k
     return edges
 
 
-def _propose(fields: pa.Schema):
-    """Pairs of each small bucket, whose rows come together; the central member of each block of a large one."""
+def _by_group(df: DataFrame, group: list[str], rest: list[str], closed: Callable[[tuple, list], list], schema: str) -> DataFrame:
+    """Rows that ``closed`` makes of the rows of each group, which are as many as a block or two holds."""
+    fields = to_arrow_schema(struct_type(schema))
+
+    def made(out: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), fields, strict=True)], schema=fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held = None, []
-
-        def closed(rows: list) -> list[tuple]:
-            if len(rows) < 2:
-                return [(at[0], rows[0][0], None, 0.0, rows[0][1])] if rows and rows[0][2] > BLOCK else []
-            if len(rows) == 2 and rows[0][2] <= BLOCK:
-                (a, s, _), (b, t, _) = rows
-                near = (np.frombuffer(s, np.uint8) == np.frombuffer(t, np.uint8)).mean() >= WORTH
-                return [(at[0], min(a, b), max(a, b), None, None)] if near else []
-            signs = np.frombuffer(b"".join(r[1] for r in rows), np.uint8).reshape(len(rows), SIGNATURE)
-            if rows[0][2] > BLOCK:
-                central = [float((signs == s).mean()) for s in signs]
-                most = int(np.argmax(central))
-                return [(at[0], rows[most][0], None, central[most], rows[most][1])]
-            return [(at[0], a, b, None, None) for a, b in _forest([r[0] for r in rows], signs)]
-
         for batch in batches:
             out = []
-            names = ("key", "block", "text_key", "signature", "n_bucket")
-            for key, block, text_key, sign, n in zip(*(batch[c].to_pylist() for c in names), strict=True):
-                if (key, block) != at:
-                    out += closed(held)
-                    at, held = (key, block), []
-                held.append((text_key, sign, n))
+            keys = zip(*(batch[c].to_pylist() for c in group), strict=True)
+            for key, *row in zip(keys, *(batch[c].to_pylist() for c in rest), strict=True):
+                if key != at:
+                    out += closed(at, held) if held else []
+                    at, held = key, []
+                held.append(tuple(row))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), fields, strict=True)], schema=fields)
-        if out := closed(held):
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), fields, strict=True)], schema=fields)
-
-    return run
-
-
-def first_keys(texts: DataFrame) -> DataFrame:
-    """``KEYED``: the order keys of every text."""
-    return texts.select(F.explode("keys").alias("key"), "text_key")
-
-
-def further_keys(texts: DataFrame, level: int) -> DataFrame:
-    """``KEYED``: longer keys with other seeds, from the minima that the signature holds."""
-    places = _PLACES[level]
-
-    def make():
-        def work(b: pa.RecordBatch) -> dict:
-            signs = b["signature"].to_pylist()
-            held = np.frombuffer(b"".join(signs), np.uint8).reshape(len(signs), -1)
-            out: dict[str, list] = {"key": [], "text_key": []}
-            names = b["text_key"].to_pylist()
-            for band, at in enumerate(places):
-                seed = (level + 1) * 1_000 + band
-                out["key"] += [xxhash.xxh64_intdigest(x.tobytes(), seed=seed) - (1 << 63) for x in held[:, at]]
-                out["text_key"] += names
-            return out
-
-        return work
-
-    return map_columns(texts.select("text_key", "signature"), make, KEYED)
-
-
-def rooted(keyed: DataFrame, found: DataFrame) -> DataFrame:
-    """``keyed`` with the class ``root`` of each text."""
-    known = keyed.join(found.withColumnRenamed("node", "text_key"), "text_key", "left")
-    return known.withColumn("root", F.coalesce("root", "text_key"))
+                yield made(out)
+        if held and (out := closed(at, held)):
+            yield made(out)
 
+    ordered = df.select(*group, *rest).repartition(*group).sortWithinPartitions(*group, rest[0])
+    return ordered.mapInArrow(run, schema)
 
-def bucketed(keyed: DataFrame, found: DataFrame) -> DataFrame:
-    """``KEYED`` with ``n_bucket``, of the keys that texts of several classes have.
 
-    Signatures are joined later, to what is left: most keys are of one text, or of one class.
-    """
-    texts = rooted(keyed, found)
-    several = texts.groupBy("key").agg(F.count("*").alias("n_bucket"), F.min("root").alias("low"), F.max("root").alias("high"))
-    several = stored(several.filter("low <> high").select("key", "n_bucket"), "buckets")
-    return stored(keyed.join(several, "key"), "members")
+def bucketed(keyed: DataFrame) -> DataFrame:
+    """``key, node, n_bucket`` of the keys that several texts have; of keys with the same texts, one."""
+    own = Window.partitionBy("key")
+    several = keyed.withColumn("low", F.min("node").over(own)).withColumn("high", F.max("node").over(own))
+    members = stored(several.filter("low <> high").select("key", "node").distinct(), "members")
+    same = [F.count("*").alias("n_bucket"), F.min("node").alias("low"), F.max("node").alias("high")]
+    # Two sums of different hashes, so that other texts have another print.
+    same += [F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")]
+    prints = members.groupBy("key").agg(*same)
+    kept = prints.groupBy("n_bucket", "low", "high", "x", "y").agg(F.min("key").alias("key"))
+    return stored(members.join(stored(kept.select("key", "n_bucket"), "kept"), "key"), "buckets")
 
 
-def weighed(members: DataFrame, pivots: DataFrame) -> DataFrame:
-    """``text_key, pivot, alike``: members worth verifying with the representatives of their bucket.
+def weighed(members: DataFrame, pivots: DataFrame, least: float = LEAST) -> DataFrame:
+    """``a, b``: members that may be alike to the representative of their bucket.
 
-    ``pivots`` has ``key, pivot, pivot_signature``.
+    ``pivots`` has ``key, pivot, pivot_n, pivot_spread``.
     """
 
     def make():
         def work(b: pa.RecordBatch) -> dict:
             if not b.num_rows:
-                return {"text_key": [], "pivot": [], "alike": []}
-            own, other = (
-                np.frombuffer(b"".join(b[c].to_pylist()), np.uint8).reshape(-1, SIGNATURE)
-                for c in ("signature", "pivot_signature")
-            )
-            alike = (own == other).mean(axis=1)
-            near = pa.array(alike >= WORTH)
-            return {"text_key": b["text_key"].filter(near), "pivot": b["pivot"].filter(near), "alike": alike[alike >= WORTH]}
+                return {"a": [], "b": []}
+            own, other = (np.frombuffer(b"".join(b[c].to_pylist()), np.uint8).reshape(-1, BINS) for c in ("spread", "pivot_spread"))
+            near = pa.array(likest(b["n"].to_numpy(), own, b["pivot_n"].to_numpy(), other) >= least)
+            return {"a": b["a"].filter(near), "b": b["b"].filter(near)}
 
         return work
 
-    met = members.join(pivots, "key").filter("text_key <> pivot")
-    return map_columns(met.select("text_key", "signature", "pivot", "pivot_signature"), make, "text_key string, pivot string, alike double")
-
+    met = members.join(pivots, "key").filter("node <> pivot")
+    ends = [F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")]
+    return map_columns(met.select(*ends, "n", "spread", "pivot_n", "pivot_spread"), make, "a long, b long")
 
-def _in_order(left: str, right: str) -> list:
-    return [F.least(left, right).alias("a"), F.greatest(left, right).alias("b")]
 
+def candidates(members: DataFrame, signs: DataFrame, least: float = LEAST) -> DataFrame:
+    """``a, b``: the first pairs to verify.  ``signs`` has ``node, n, spread``."""
+    members = members.join(signs, "node")
+    dealt = members.withColumn("block", F.pmod(F.xxhash64("node", "key"), F.ceil(F.col("n_bucket") / BLOCK)))
 
-def candidates(members: DataFrame, signs: DataFrame) -> DataFrame:
-    """``a, b``: the first pairs of text keys to verify."""
-    members = members.join(signs, "text_key")
-    dealt = members.withColumn("block", F.pmod(F.xxhash64("text_key", "key"), F.ceil(F.col("n_bucket") / BLOCK)))
-    ordered = dealt.repartition("key", "block").sortWithinPartitions("key", "block", "text_key")
-    proposed = stored(
-        ordered.select("key", "block", "text_key", "signature", "n_bucket").mapInArrow(
-            _propose(to_arrow_schema(struct_type(PROPOSED))), PROPOSED
-        ),
-        "proposed",
-    )
-    central = F.max(F.struct("central", "a", "signature")).alias("p")
-    pivots = stored(proposed.filter("b is null").groupBy("key").agg(central), "pivots")
-    pivots = pivots.select("key", F.col("p.a").alias("pivot"), F.col("p.signature").alias("pivot_signature"))
-    pairs = proposed.filter("b is not null").select("a", "b")
-    near = weighed(members.filter(F.col("n_bucket") > BLOCK), pivots)
-    return pairs.unionByName(near.select(*_in_order("text_key", "pivot"))).distinct()
-
+    small = BLOCK
 
-def _offer(fields: pa.Schema, lead: int):
-    """Of each bucket, whose rows come together: the ``lead`` likeliest pairs of any two classes."""
+    def closed(at: tuple, rows: list) -> list[tuple]:
+        if rows[0][1] <= small:
+            return [(at[0], a, b, None, None, None) for a, b in _forest(rows, least)]
+        n, counts = _counts(rows)
+        central = [float(likest(n, counts, n[k], counts[k]).mean()) for k in range(len(rows))]
+        most = int(np.argmax(central))
+        return [(at[0], rows[most][0], None, central[most], *rows[most][-2:])]
 
-    def closed(rows: list) -> list[tuple]:
-        if len({r[1] for r in rows}) < 2:
-            return []
-        signs = np.frombuffer(b"".join(r[2] for r in rows), np.uint8).reshape(len(rows), SIGNATURE)
-        number = {root: k for k, root in enumerate(sorted({r[1] for r in rows}))}
-        roots = np.array([number[r[1]] for r in rows])
-        found: dict[tuple, list] = {}
-        for k, (own, root, _) in enumerate(rows[:-1]):
-            alike = np.count_nonzero(signs[k + 1 :] == signs[k], axis=1) / SIGNATURE
-            for at in np.flatnonzero((alike >= WORTH) & (roots[k + 1 :] != roots[k])).tolist():
-                other = rows[k + 1 + at]
-                pair = (-alike[at], min(own, other[0]), max(own, other[0]))
-                found.setdefault((min(root, other[1]), max(root, other[1])), []).append(pair)
-        return [(a, b, len(pairs) > lead) for pairs in found.values() for _, a, b in sorted(pairs)[:lead]]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held = None, []
-        for batch in batches:
-            out = []
-            for key, *row in zip(*(batch[c].to_pylist() for c in ("key", "text_key", "root", "signature")), strict=True):
-                if key != at:
-                    out += closed(held)
-                    at, held = key, []
-                held.append(tuple(row))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), fields, strict=True)], schema=fields)
-        if out := closed(held):
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), fields, strict=True)], schema=fields)
-
-    return run
+    proposed = stored(_by_group(dealt, ["key", "block"], ["node", "n_bucket", "n", "spread"], closed, PROPOSED), "proposed")
+    pairs = proposed.filter("b is not null").select("a", "b")
+    central = F.max(F.struct("central", "a", "n", "spread")).alias("p")
+    pivots = proposed.filter("b is null").groupBy("key").agg(central).select(
+        "key", F.col("p.a").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.spread").alias("pivot_spread")
+    )
+    return pairs.unionByName(weighed(members.filter(F.col("n_bucket") > BLOCK), pivots, least)).distinct()
 
 
 def divided(members: DataFrame, found: DataFrame) -> DataFrame:
-    """``members`` of the buckets that hold several classes, with their class ``root``."""
-    texts = rooted(members, found)
-    several = texts.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-    return texts.join(several.select("key"), "key")
+    """``key, node, n_bucket, root`` of the buckets that hold several classes."""
+    texts = members.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    own = Window.partitionBy("key")
+    several = texts.withColumn("low", F.min("root").over(own)).withColumn("high", F.max("root").over(own))
+    return several.filter("low <> high").drop("low", "high")
 
 
-def offered(texts: DataFrame, lead: int) -> DataFrame:
-    """``a, b, more``: pairs of different classes of a small bucket.
+def offered(texts: DataFrame, signs: DataFrame, first: bool, least: float = LEAST) -> DataFrame:
+    """``a, b``: pairs of different classes of a bucket that may be alike; ``first``: the likeliest of any two classes.
 
-    ``more`` says that the two classes have further pairs worth verifying there.
+    Every block of a bucket meets every other.
     """
-    ordered = texts.repartition("key").sortWithinPartitions("key", "text_key")
-    fields = to_arrow_schema(struct_type(OFFERED))
-    return ordered.select("key", "text_key", "root", "signature").mapInArrow(_offer(fields, lead), OFFERED)
-
-
-def whole_texts(keys: DataFrame, texts: DataFrame, docs: DataFrame) -> DataFrame:
-    """``text_key, text`` of the texts in ``keys``, each once.  ``texts`` names a row of ``docs`` for each."""
-    wanted = keys.select("text_key").distinct().join(texts.select("text_key", "ref"), "text_key")
-    wanted = stored(wanted, "wanted")
+    blocks = F.ceil(F.col("n_bucket") / GRID)
+    dealt = texts.withColumn("block", F.pmod(F.xxhash64("node", "key"), blocks))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    dealt = dealt.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+
+    def closed(at: tuple, rows: list) -> list[tuple]:
+        _, low, high = at
+        n, counts = _counts(rows)
+        number = {root: k for k, root in enumerate(sorted({r[1] for r in rows}))}
+        roots, block = np.array([number[r[1]] for r in rows]), np.array([r[2] for r in rows])
+        out, best = [], {}
+        for k in range(len(rows) - 1):
+            apart = roots[k + 1 :] != roots[k]
+            if low != high:
+                apart &= block[k + 1 :] != block[k]
+            others = k + 1 + np.flatnonzero(apart)
+            if not len(others):
+                continue
+            alike = likest(n[others], counts[others], n[k], counts[k])
+            for x, j in zip(alike[alike >= least].tolist(), others[alike >= least].tolist(), strict=True):
+                pair = (min(rows[k][0], rows[j][0]), max(rows[k][0], rows[j][0]))
+                if not first:
+                    out.append(pair)
+                    continue
+                of = (min(roots[k], roots[j]), max(roots[k], roots[j]))
+                best[of] = max(best.get(of, (0.0, pair)), (x, pair))
+        return out or [pair for _, pair in best.values()]
+
+    rest = ["node", "root", "block", "n", "spread"]
+    return _by_group(dealt.join(signs, "node"), ["key", "low", "high"], rest, closed, "a long, b long").distinct()
+
+
+def whole_texts(nodes: DataFrame, texts: DataFrame, docs: DataFrame) -> DataFrame:
+    """``node, text`` of ``nodes``, each once.  ``texts`` names a row of ``docs`` for each."""
+    wanted = stored(nodes.distinct().join(texts.select("node", "ref", "text_key"), "node"), "wanted")
     found = docs.select("ref", "text_key", "text").join(wanted, ["ref", "text_key"])
-    return stored(found.select("text_key", "text").dropDuplicates(["text_key"]), "whole")
+    return stored(found.select("node", "text").dropDuplicates(["node"]), "whole")
 
 
 def verified(pairs: DataFrame, whole: DataFrame, least: float = LEAST) -> DataFrame:
@@ -400,10 +407,10 @@ def verified(pairs: DataFrame, whole: DataFrame, least: float = LEAST) -> DataFr
 
         return work
 
-    both = pairs.join(whole.select(F.col("text_key").alias("a"), "text"), "a").join(
-        whole.select(F.col("text_key").alias("b"), F.col("text").alias("other")), "b"
+    both = pairs.join(whole.select(F.col("node").alias("a"), "text"), "a").join(
+        whole.select(F.col("node").alias("b"), F.col("text").alias("other")), "b"
     )
-    return map_columns(both.select("a", "b", "text", "other"), make, "a string, b string").distinct()
+    return map_columns(both.select("a", "b", "text", "other"), make, "a long, b long").distinct()
 
 
 def classes(links: DataFrame) -> DataFrame:
@@ -434,23 +441,22 @@ def classes(links: DataFrame) -> DataFrame:
 class _Links:
     """Verified links, the classes they make, and the pairs that need no second trial."""
 
-    def __init__(self, whole: DataFrame, signs: DataFrame, least: float):
-        self.whole, self.signs, self.least = whole, signs, least
+    def __init__(self, whole: DataFrame, least: float):
+        self.whole, self.least = whole, least
         spark = whole.sparkSession
-        self.tested = self.links = spark.createDataFrame([], "a string, b string")
-        self.found = spark.createDataFrame([], "node string, root string")
+        self.tested = self.links = spark.createDataFrame([], "a long, b long")
+        self.found = spark.createDataFrame([], "node long, root long")
 
-    def weigh(self, pairs: DataFrame) -> bool:
-        """Verify the pairs that are new; whether there were any."""
-        fresh = stored(pairs.select("a", "b").distinct().join(self.tested, ["a", "b"], "left_anti"), "fresh")
+    def weigh(self, pairs: DataFrame) -> None:
+        """Verify the pairs that are new."""
+        fresh = stored(pairs.join(self.tested, ["a", "b"], "left_anti"), "fresh")
         if fresh.isEmpty():
-            return False
+            return
         self.tested = self.tested.unionByName(fresh)
         new = stored(verified(fresh, self.whole, self.least), "links")
         if not new.isEmpty():
             self.links = self.links.unionByName(new)
             self._join(new)
-        return True
 
     def _join(self, new: DataFrame) -> None:
         """Classes of the old classes' roots, and so of their members."""
@@ -465,61 +471,20 @@ class _Links:
         fresh = merged.join(roots.select("node"), "node", "left_anti")
         self.found = stored(old.unionByName(fresh.select("node", "root")), "found")
 
-    def small(self, members: DataFrame) -> None:
-        """Verify pairs of small buckets until no pair of two classes is left untested."""
-        lead = LEAD
-        while True:
-            offers = stored(offered(divided(members, self.found).join(self.signs, "text_key"), lead), "offers")
-            if not self.weigh(offers) and offers.filter("more").isEmpty():
-                return
-            lead *= GROWTH
-
-    def large(self, members: DataFrame) -> None:
-        """Weigh members against representatives of their bucket's classes until each class has had one.
-
-        A representative is tried with the likeliest member of each other class.
-        """
-        spark = members.sparkSession
-        used = spark.createDataFrame([], "key long, pivot string")
-        while True:
-            texts = stored(divided(members, self.found), "divided")
-            had = used.join(self.found.withColumnRenamed("node", "pivot"), "pivot", "left")
-            had = had.select("key", F.coalesce("root", "pivot").alias("root")).distinct()
-            first = F.min(F.struct(F.xxhash64("text_key").alias("turn"), "text_key")).alias("p")
-            left = texts.join(had, ["key", "root"], "left_anti").groupBy("key", "root").agg(first)
-            turn = F.row_number().over(Window.partitionBy("key").orderBy("p.turn", "p.text_key"))
-            chosen = left.withColumn("turn", turn).filter(F.col("turn") <= REPRESENTATIVES)
-            chosen = chosen.select("key", F.col("p.text_key").alias("pivot"))
-            signs = self.signs.select(F.col("text_key").alias("pivot"), F.col("signature").alias("pivot_signature"))
-            pivots = stored(chosen.join(signs, "pivot"), "pivots")
-            if pivots.isEmpty():
-                return
-            near = weighed(texts.join(self.signs, "text_key"), pivots).dropDuplicates(["text_key", "pivot"])
-            near = near.join(texts.select("text_key", "root").distinct(), "text_key")
-            best = near.groupBy("pivot", "root").agg(F.max_by("text_key", F.struct("alike", "text_key")).alias("text_key"))
-            self.weigh(best.select(*_in_order("text_key", "pivot")))
-            used = stored(used.unionByName(pivots.select("key", "pivot")), "used")
-
-
-def linked_texts(texts: DataFrame, docs: DataFrame, least: float = LEAST) -> tuple[DataFrame, DataFrame]:
-    """Verified links ``a, b`` and the classes they make."""
-    signs = texts.select("text_key", "signature")
-    none = texts.sparkSession.createDataFrame([], "node string, root string")
-    members = bucketed(first_keys(texts), none)
+
+def linked_texts(own: DataFrame, texts: DataFrame, docs: DataFrame, least: float = LEAST) -> tuple[DataFrame, DataFrame]:
+    """Verified links ``a, b`` and the classes they make, ``node, root``."""
+    signs = texts.select("node", "n", "spread")
+    alike = bucketed(own.select(F.explode("keys").alias("key"), "node"))
+    near = bucketed(own.select(F.explode("prefix").alias("key"), "node"))
     # Only texts that share a bucket are ever read again.
-    state = _Links(whole_texts(members, texts, docs), signs, least)
-    for level in range(len(LEVELS) + 1):
-        small, large = members.filter(F.col("n_bucket") <= BLOCK), members.filter(F.col("n_bucket") > BLOCK)
-        state.weigh(candidates(large if level else members, signs))
-        state.small(small)
-        # Texts of large buckets of several classes are dealt anew, those that are linked among them.
-        left = stored(divided(large, state.found).select("text_key").distinct(), "divided")
-        if left.isEmpty():
-            break
-        if level == len(LEVELS):
-            state.large(large)
+    state = _Links(whole_texts(alike.select("node").unionByName(near.select("node")), texts, docs), least)
+    state.weigh(candidates(alike, signs, least))
+    for first in (True, False):
+        near = stored(divided(near, state.found).drop("root"), "divided")
+        if near.isEmpty():
             break
-        members = bucketed(further_keys(left.join(signs, "text_key"), level), state.found)
+        state.weigh(offered(divided(near, state.found), signs, first, least))
     return state.links, state.found
 
 
@@ -530,24 +495,25 @@ def near_duplicates(docs: DataFrame, least: float = LEAST, id_col: str = "doc_id
     verified: enough to connect its class, not all that are alike, as pairs within a class are not tried again.
     """
     rows = with_keys(docs, id_col, text_col)
-    own = stored(sketches(rows), "sketches")
+    own = stored(sketches(rows, common_shingles(rows), least), "sketches")
     texts = stored(
-        own.groupBy("text_key").agg(
+        own.groupBy("node", "text_key").agg(
             F.min("ref").alias("ref"),
             F.count("*").alias("n_copies"),
-            F.max(F.struct("keys", "signature")).alias("s"),
-        ).select("text_key", "ref", "n_copies", "s.*"),
+            F.max("n").alias("n"),
+            F.max("spread").alias("spread"),
+        ),
         "texts",
     )
-    links, found = linked_texts(texts, rows, least)
-    degree = links.select(F.explode(F.array("a", "b")).alias("text_key")).groupBy("text_key").agg(F.count("*").alias("n_links"))
-    rooted = texts.select("text_key", "ref", "n_copies").join(found.withColumnRenamed("node", "text_key"), "text_key", "left")
-    rooted = rooted.withColumn("root", F.coalesce("root", "text_key"))
-    linked = stored(rooted.join(degree, "text_key", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0))), "rooted")
+    links, found = linked_texts(own, texts, rows, least)
+    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
+    rooted = texts.select("node", "ref", "n_copies").join(found, "node", "left")
+    rooted = rooted.withColumn("root", F.coalesce("root", "node"))
+    linked = stored(rooted.join(degree, "node", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0))), "rooted")
     named = stored(linked.groupBy("root").agg(F.min("ref").alias("class_id")), "classes")
-    of_text = stored(linked.join(named, "root").select("text_key", "class_id", "n_copies", "n_links"), "of-text")
-    ids = own.select("ref", "text_key")
-    return ids.join(of_text, "text_key").select(
+    of_text = stored(linked.join(named, "root").select("node", "class_id", "n_copies", "n_links"), "of-text")
+    ids = own.select("ref", "text_key", "node")
+    return ids.join(of_text, "node").select(
         F.col("ref").alias("doc_id"), "class_id", "n_copies", "n_links", "text_key"
     )
 

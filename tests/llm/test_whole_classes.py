@@ -49,3 +49,29 @@ def test_a_link_that_the_first_forest_leaves_out_is_found(spark):
         texts.append(" ".join(words))
     found = classes_of(spark, texts)
     assert found == brute_classes(dict(enumerate(texts))) == {0: 0, 1: 0, **{k: k for k in range(2, 10)}}
+
+
+def test_a_link_that_the_signatures_underrate_is_found(spark):
+    rng = np.random.default_rng(1570)
+    base = [f"word{k}" for k in rng.integers(0, 9000, 94)]
+    other = list(base)
+    for at in (20, 60):
+        other[at] = f"edit{at}"
+    texts = [" ".join(base), " ".join(other)]
+    a, b = (np.frombuffer(order_minhash.signature(order_minhash.Shingles()(t)), np.uint8) for t in texts)
+    assert (a == b).mean() < 0.72  # the link is 0.8
+    assert classes_of(spark, texts) == {0: 0, 1: 0}
+
+
+def test_shingles_that_many_texts_share_come_last_and_alike_texts_meet():
+    rng = np.random.default_rng(4)
+    for _ in range(50):
+        n = int(rng.integers(5, 400))
+        shared, *own = (rng.integers(0, 1 << 63, k).astype(np.uint64) for k in (n, n // 9, n // 9))
+        a, b = (np.r_[shared, x] for x in own)  # at 9/11 or more
+        common = np.sort(shared[: n // 2])
+        first = [order_minhash.prefix(x, common, np.full(len(common), 9)) for x in (a, b)]
+        assert len(np.intersect1d(*first)) > 0
+        assert all(len(np.intersect1d(x, common)) == 0 or len(x) > len(x_all) - n // 2 for x, x_all in zip(first, (a, b), strict=True))
+        counts = [np.frombuffer(order_minhash.spread(x), np.uint8) for x in (a, b)]
+        assert order_minhash.likest(len(a), counts[0], len(b), counts[1]) >= n / (len(a) + len(b) - n)
