@@ -16,8 +16,11 @@ order puts shingles last that many texts share, as told by a bounded sample, whi
 alone.  Texts that meet in such a shingle and are of different classes are paired, block by block where
 they are many: first the likeliest pair of any two classes, then, of classes still apart, all pairs.
 Only pairs that cannot be alike go unverified: shingles are counted by their last byte, and the sum of
-the lesser counts bounds what two texts have in common.  So every link between classes is found.  The
-work grows with the members of a class; pairs of texts of one template, none alike, are weighed all.
+the lesser counts bounds what two texts have in common.  Such counts say little of a long text, so its
+shingles are dealt by other bits over parts of ``PART`` at most on average, and parts meet instead of
+texts: two texts alike by ``least`` have a part in which they are alike by as much.  So every link between
+classes is found.  The work grows with the members of a class; pairs of texts of one template, nearly
+alike, are weighed all.
 
 A pair is verified on its whole texts.  Labelled shingles are distinct, so the longest common
 subsequence is the longest rising run of positions; the band is the shift that the asked likeness
@@ -34,6 +37,7 @@ from __future__ import annotations
 import math
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +55,8 @@ BANDS, KEPT = 12, 2
 SIGNATURE = 256
 #: Bins of the counts that bound what two texts have in common, and the count of a bin that says nothing.
 BINS, FULL = 256, 255
+#: Shingles of a part of a text on average, and how many more parts the next longer texts have.
+PART, FINER = 1024, 4
 BLOCK = 192
 #: Texts of a block where all of a bucket meet.
 GRID = 2048
@@ -59,7 +65,8 @@ SAMPLED, OFTEN, COMMON = 8192, 3, 1 << 16
 #: Shingles hashed at once, for very long texts.
 CHUNK = 1 << 14
 
-SKETCH = "ref long, text_key string, n long, keys array<long>, prefix array<long>, spread binary"
+PARTS = "array<struct<part: long, n: long, spread: binary, prefix: array<long>>>"
+SKETCH = f"ref long, text_key string, n long, keys array<long>, spread binary, parts {PARTS}"
 PROPOSED = "key long, a long, b long, central double, n long, spread binary"
 
 _ODD = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD]
@@ -90,6 +97,9 @@ class Shingles:
         for k in range(width):
             plain += hashed[k : n - width + 1 + k] * np.uint64(_ODD[k])
         plain = _mix(plain)
+        placed = np.sort(plain)
+        if (placed[1:] != placed[:-1]).all():
+            return _mix(plain)  # each occurs once
         order = np.argsort(plain, kind="stable")
         placed = plain[order]
         at = np.arange(len(placed))
@@ -104,8 +114,11 @@ def band_keys(shingles: np.ndarray) -> list[int]:
     keys = []
     for j, seed in enumerate(_BAND_SEEDS):
         value = _mix(shingles ^ seed)
-        few = np.argpartition(value, KEPT - 1)[:KEPT] if len(value) > KEPT else np.arange(len(value))
-        kept = value[np.sort(few)].astype("<u8").tobytes()
+        few = {}
+        for _ in range(min(KEPT, len(value))):
+            at = int(value.argmin())
+            few[at], value[at] = value[at], np.iinfo(np.uint64).max
+        kept = np.array([few[at] for at in sorted(few)], "<u8").tobytes()
         keys.append(xxhash.xxh64_intdigest(kept, seed=j) - (1 << 63))
     return keys
 
@@ -151,15 +164,24 @@ def prefix(shingles: np.ndarray, common: np.ndarray, shared: np.ndarray, least:
 
     ``common`` is sorted; ``shared`` has the texts of each.
     """
+    return _first(shingles, _sharing(shingles, common, shared), least)
+
+
+def _sharing(shingles: np.ndarray, common: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """The texts that share each shingle, 0 if it is not ``common``."""
+    if not len(common):
+        return np.zeros(len(shingles), np.int64)
+    at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
+    return np.where(common[at] == shingles, shared[at], 0)
+
+
+def _first(shingles: np.ndarray, often: np.ndarray, least: float) -> np.ndarray:
     n = len(shingles)
     wanted = n - math.ceil(least * n - 1e-9) + 1
     if wanted >= n:
         return shingles
-    if len(common):
-        at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
-        often = np.where(common[at] == shingles, shared[at], 0)
-        if often.any():
-            return shingles[np.lexsort((shingles, often))[:wanted]]
+    if often.any():
+        return shingles[np.lexsort((shingles, often))[:wanted]]
     return np.partition(shingles, wanted - 1)[:wanted]
 
 
@@ -169,6 +191,43 @@ def spread(shingles: np.ndarray) -> bytes:
     return (counts if counts.max() < FULL else np.full(BINS, FULL)).astype(np.uint8).tobytes()
 
 
+def dealings(n: int, least: float = LEAST) -> list[int]:
+    """The numbers of parts of a text of ``n`` shingles: those of all shorter texts that may be alike to it, and its own."""
+    found, parts = [], 1
+    shortest = math.ceil(least * n - 1e-9)
+    while parts * PART <= shortest:
+        parts *= FINER
+    found.append(parts)
+    while parts * PART <= n:
+        parts *= FINER
+        found.append(parts)
+    return found
+
+
+def parts_of(shingles: np.ndarray, common: np.ndarray, shared: np.ndarray, least: float = LEAST) -> list[dict]:
+    """The parts of a text: a number, and size, counts and first shingles; the whole has number 1 and the text's own counts.
+
+    Of two texts, the dealing of the shorter is one of the longer's too.  Shingles in common over all of both are at
+    least as many in some part as in the whole.
+    """
+    found = []
+    often = _sharing(shingles, common, shared)
+    for many in dealings(len(shingles), least) if len(shingles) else []:
+        if many == 1:
+            first = _first(shingles, often, least).astype("i8")
+            found.append({"part": 1, "n": None, "spread": None, "prefix": first})
+            continue
+        place = (shingles >> np.uint64(8)) & np.uint64(many - 1)
+        order = np.argsort(place, kind="stable")
+        ends = np.searchsorted(place[order], np.arange(many + 1, dtype=np.uint64))
+        for k in np.flatnonzero(np.diff(ends)).tolist():
+            at = order[ends[k] : ends[k + 1]]
+            own = shingles[at]
+            first = _mix(_first(own, often[at], least) + np.uint64(many)).astype("i8")
+            found.append({"part": many + k, "n": len(own), "spread": spread(own), "prefix": first})
+    return found
+
+
 def likest(n: np.ndarray, counts: np.ndarray, m: np.ndarray, other: np.ndarray) -> np.ndarray:
     """Upper bounds of the likeness of texts with ``n`` and ``m`` shingles and such counts."""
     most = np.minimum(n, m)
@@ -213,8 +272,8 @@ def sketches(docs: DataFrame, common: tuple[np.ndarray, np.ndarray], least: floa
                 "text_key": b["text_key"],
                 "n": [len(s) for s in found],
                 "keys": [band_keys(s) if len(s) else [] for s in found],
-                "prefix": [prefix(s, *sent.value, least).astype("i8") for s in found],
                 "spread": [spread(s) for s in found],
+                "parts": [parts_of(s, *sent.value, least) for s in found],
             }
 
         return work
@@ -253,6 +312,14 @@ def _forest(rows: list[tuple], least: float) -> list[tuple[int, int]]:
     return edges
 
 
+def _items(column: pa.Array) -> list:
+    """The values of a column; lists of numbers as arrays."""
+    if not pa.types.is_list(column.type):
+        return column.to_pylist()
+    ends, flat = column.offsets.to_numpy(), column.values.to_numpy()
+    return [flat[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+
+
 def _by_group(df: DataFrame, group: list[str], rest: list[str], closed: Callable[[tuple, list], list], schema: str) -> DataFrame:
     """Rows that ``closed`` makes of the rows of each group, which are as many as a block or two holds."""
     fields = to_arrow_schema(struct_type(schema))
@@ -265,7 +332,7 @@ def _by_group(df: DataFrame, group: list[str], rest: list[str], closed: Callable
         for batch in batches:
             out = []
             keys = zip(*(batch[c].to_pylist() for c in group), strict=True)
-            for key, *row in zip(keys, *(batch[c].to_pylist() for c in rest), strict=True):
+            for key, *row in zip(keys, *(_items(batch[c]) for c in rest), strict=True):
                 if key != at:
                     out += closed(at, held) if held else []
                     at, held = key, []
@@ -337,6 +404,18 @@ def candidates(members: DataFrame, signs: DataFrame, least: float = LEAST) -> Da
     return pairs.unionByName(weighed(members.filter(F.col("n_bucket") > BLOCK), pivots, least)).distinct()
 
 
+def dealt_parts(own: DataFrame) -> DataFrame:
+    """``node, text, n, spread, prefix`` of the parts of sketched texts; ``node`` is a number for the part, ``text`` for its text."""
+    part = F.col("p.part")
+    return own.select("node", "n", "spread", F.explode("parts").alias("p")).select(
+        F.when(part == 1, F.col("node")).otherwise(F.xxhash64("node", part)).alias("node"),
+        F.col("node").alias("text"),
+        F.coalesce("p.n", "n").alias("n"),
+        F.coalesce("p.spread", "spread").alias("spread"),
+        F.col("p.prefix").alias("prefix"),
+    )
+
+
 def divided(members: DataFrame, found: DataFrame) -> DataFrame:
     """``key, node, n_bucket, root`` of the buckets that hold several classes."""
     texts = members.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -348,10 +427,13 @@ def divided(members: DataFrame, found: DataFrame) -> DataFrame:
 def offered(texts: DataFrame, signs: DataFrame, first: bool, least: float = LEAST) -> DataFrame:
     """``a, b``: pairs of different classes of a bucket that may be alike; ``first``: the likeliest of any two classes.
 
-    Every block of a bucket meets every other.
+    ``texts`` has parts of texts, and ``signs`` their ``node, text, n, spread``.  Every block of a bucket meets every other.
+    Parts that share many buckets are paired in the one of the smallest key.
     """
     blocks = F.ceil(F.col("n_bucket") / GRID)
-    dealt = texts.withColumn("block", F.pmod(F.xxhash64("node", "key"), blocks))
+    before = Window.partitionBy("node").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
+    dealt = texts.withColumn("earlier", F.collect_list("key").over(before))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node", "key"), blocks))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
     dealt = dealt.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
 
@@ -360,16 +442,21 @@ def offered(texts: DataFrame, signs: DataFrame, first: bool, least: float = LEAS
         n, counts = _counts(rows)
         number = {root: k for k, root in enumerate(sorted({r[1] for r in rows}))}
         roots, block = np.array([number[r[1]] for r in rows]), np.array([r[2] for r in rows])
+        earlier = cache(lambda k: frozenset(rows[k][3].tolist()))
         out, best = [], {}
         for k in range(len(rows) - 1):
             apart = roots[k + 1 :] != roots[k]
             if low != high:
                 apart &= block[k + 1 :] != block[k]
+            # Sizes alone tell most pairs apart.
+            apart &= np.minimum(n[k + 1 :], n[k]) >= least * np.maximum(n[k + 1 :], n[k]) - 1e-6
             others = k + 1 + np.flatnonzero(apart)
             if not len(others):
                 continue
             alike = likest(n[others], counts[others], n[k], counts[k])
             for x, j in zip(alike[alike >= least].tolist(), others[alike >= least].tolist(), strict=True):
+                if not earlier(k).isdisjoint(earlier(j)):
+                    continue
                 pair = (min(rows[k][0], rows[j][0]), max(rows[k][0], rows[j][0]))
                 if not first:
                     out.append(pair)
@@ -378,7 +465,7 @@ def offered(texts: DataFrame, signs: DataFrame, first: bool, least: float = LEAS
                 best[of] = max(best.get(of, (0.0, pair)), (x, pair))
         return out or [pair for _, pair in best.values()]
 
-    rest = ["node", "root", "block", "n", "spread"]
+    rest = ["text", "root", "block", "earlier", "n", "spread"]
     return _by_group(dealt.join(signs, "node"), ["key", "low", "high"], rest, closed, "a long, b long").distinct()
 
 
@@ -476,15 +563,24 @@ def linked_texts(own: DataFrame, texts: DataFrame, docs: DataFrame, least: float
     """Verified links ``a, b`` and the classes they make, ``node, root``."""
     signs = texts.select("node", "n", "spread")
     alike = bucketed(own.select(F.explode("keys").alias("key"), "node"))
-    near = bucketed(own.select(F.explode("prefix").alias("key"), "node"))
+    parts = dealt_parts(own)
+    near = bucketed(parts.select(F.explode("prefix").alias("key"), "node"))
+    met = near.select("node").distinct()
+    parts = stored(parts.drop("prefix").join(met, "node", "left_semi").dropDuplicates(["node"]), "parts")
     # Only texts that share a bucket are ever read again.
-    state = _Links(whole_texts(alike.select("node").unionByName(near.select("node")), texts, docs), least)
+    shared = alike.select("node").unionByName(parts.select(F.col("text").alias("node")))
+    state = _Links(whole_texts(shared, texts, docs), least)
     state.weigh(candidates(alike, signs, least))
+
+    def rooted() -> DataFrame:
+        """``node, root`` of the parts of texts that have links."""
+        return parts.select("node", "text").join(state.found.withColumnRenamed("node", "text"), "text").select("node", "root")
+
     for first in (True, False):
-        near = stored(divided(near, state.found).drop("root"), "divided")
+        near = stored(divided(near, rooted()).drop("root"), "divided")
         if near.isEmpty():
             break
-        state.weigh(offered(divided(near, state.found), signs, first, least))
+        state.weigh(offered(divided(near, rooted()), parts, first, least))
     return state.links, state.found
 
 

@@ -75,3 +75,48 @@ def test_shingles_that_many_texts_share_come_last_and_alike_texts_meet():
         assert all(len(np.intersect1d(x, common)) == 0 or len(x) > len(x_all) - n // 2 for x, x_all in zip(first, (a, b), strict=True))
         counts = [np.frombuffer(order_minhash.spread(x), np.uint8) for x in (a, b)]
         assert order_minhash.likest(len(a), counts[0], len(b), counts[1]) >= n / (len(a) + len(b) - n)
+
+
+def test_long_texts_that_are_alike_meet_in_a_part():
+    rng = np.random.default_rng(9)
+    none = np.zeros(0, np.uint64)
+    for shared in (6, 90, 440, 505, 515, 1900, 2040, 2100, 9000):
+        for _ in range(8):
+            base = rng.integers(0, 1 << 63, shared).astype(np.uint64)
+            extra = int(shared / 0.8 - shared)
+            few = int(rng.integers(0, extra + 1))
+            a, b = (np.r_[base, rng.integers(0, 1 << 63, k).astype(np.uint64)] for k in (few, extra - few))
+            found = []
+            for s in (a, b):
+                parts = {p["part"]: p for p in order_minhash.parts_of(s, none, none)}
+                found.append({k: (p["n"] or len(s), p["spread"] or order_minhash.spread(s), set(p["prefix"].tolist())) for k, p in parts.items()})
+            met = [k for k in found[0].keys() & found[1].keys() if not found[0][k][2].isdisjoint(found[1][k][2])]
+            bounds = []
+            for k in met:
+                (n, x, _), (m, y, _) = found[0][k], found[1][k]
+                x, y = (np.frombuffer(z, np.uint8) for z in (x, y))
+                bounds.append(order_minhash.likest(n, x, m, y))
+            assert max(bounds) >= order_minhash.LEAST
+
+
+def test_long_texts_of_one_passage_are_not_paired_and_a_pair_is_offered_once(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    passage = [f"shared{k}" for k in range(40)]
+    texts = [" ".join(passage + [f"own{k}x{j}" for j in rng.integers(0, 1 << 40, 9000)]) for k in range(12)]
+    base = [f"word{k}" for k in rng.integers(0, 9000, 400)]
+    near = [list(base), list(base)]  # about 0.78 alike
+    for at in range(20, 380, 36):
+        near[1][at] = f"edit{at}"
+    texts += [" ".join(words) for words in near]
+    rows, grouped = [], order_minhash._by_group
+
+    def recorded(df, group, rest, closed, schema):
+        out = grouped(df, group, rest, closed, schema)
+        if schema == "a long, b long":
+            rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(order_minhash, "_by_group", recorded)
+    found = classes_of(spark, texts)
+    assert found == {k: k for k in range(14)}
+    assert rows and max(rows) <= 1
