@@ -473,7 +473,7 @@ def whole_texts(nodes: DataFrame, texts: DataFrame, docs: DataFrame) -> DataFram
     """``node, text`` of ``nodes``, each once.  ``texts`` names a row of ``docs`` for each."""
     wanted = stored(nodes.distinct().join(texts.select("node", "ref", "text_key"), "node"), "wanted")
     found = docs.select("ref", "text_key", "text").join(wanted, ["ref", "text_key"])
-    return stored(found.select("node", "text").dropDuplicates(["node"]), "whole")
+    return stored(found.select("node", "text").dropDuplicates(["node"]), "whole", compression="zstd")
 
 
 def verified(pairs: DataFrame, whole: DataFrame, least: float = LEAST) -> DataFrame:
@@ -577,10 +577,10 @@ def linked_texts(own: DataFrame, texts: DataFrame, docs: DataFrame, least: float
         return parts.select("node", "text").join(state.found.withColumnRenamed("node", "text"), "text").select("node", "root")
 
     for first in (True, False):
-        near = stored(divided(near, rooted()).drop("root"), "divided")
+        near = stored(divided(near.drop("root"), rooted()), "divided")
         if near.isEmpty():
             break
-        state.weigh(offered(divided(near, rooted()), parts, first, least))
+        state.weigh(offered(near, parts, first, least))
     return state.links, state.found
 
 
